@@ -1,6 +1,6 @@
 from .hashing import key_hash, leading_bits
 from .ratings import is_valid_rating, label_from_rating, rating_value, sentiment_name
-from .text import clean_text, remove_stopwords, tokens
+from .text import clean_text, remove_stopwords, tokens, with_computed
 
 __all__ = [
     "clean_text",
@@ -12,4 +12,5 @@ __all__ = [
     "remove_stopwords",
     "sentiment_name",
     "tokens",
+    "with_computed",
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .fixed_values import ENGLISH_STOPWORDS
@@ -12,6 +12,17 @@ def as_column(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def with_computed(df: DataFrame, name: str, col: Column) -> DataFrame:
+    """Add a costly column so that it is computed once per row.
+
+    The expression goes through a one-element explode. Filters on the new column then stay above it;
+    below a plain projection the optimizer would move them, and compute the expression once more for
+    the filter, or for every element when it is used inside a lambda.
+    """
+    others = [F.col(f"`{c}`") for c in df.columns if c != name]
+    return df.select(*others, F.explode(F.array(col)).alias(name))
+
+
 def clean_text(col: Column | str, mode: str = "trimmed") -> Column:
     """Lower-case ASCII words separated by single spaces.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed_values import MIN_CLEAN_LENGTH
 from ..functions.ratings import is_valid_rating, label_from_rating
-from ..functions.text import clean_text
+from ..functions.text import clean_text, with_computed
 from ..sources.reviews import REVIEW_COLUMNS
 
 
@@ -27,13 +27,8 @@ def valid_rating(df: DataFrame, col: str = "Rating") -> DataFrame:
 
 
 def with_clean_text(df: DataFrame, col: str = "Reviews", mode: str = "trimmed") -> DataFrame:
-    """Add ``clean_text``.
-
-    The expression goes through a one-element explode: a filter on its result then stays above it,
-    where a plain projection would be inlined into the filter and the regex run twice per row.
-    """
-    others = [F.col(f"`{c}`") for c in df.columns if c != "clean_text"]
-    return df.select(*others, F.explode(F.array(clean_text(f"`{col}`", mode))).alias("clean_text"))
+    """Add ``clean_text``; length and emptiness filters on it do not run the regex again."""
+    return with_computed(df, "clean_text", clean_text(f"`{col}`", mode))
 
 
 def min_length(df: DataFrame, n: int = MIN_CLEAN_LENGTH, col: str = "clean_text") -> DataFrame:

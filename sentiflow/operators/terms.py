@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import ENGLISH_STOPWORDS, FEATURE_WIDTH
-from ..functions.text import tokens
+from ..functions.text import tokens, with_computed
 from ..sources.storage import stage
 from .lookup import BROADCAST_BYTES, HOT_KEYS, lookup
 
@@ -25,16 +25,10 @@ def document_terms(
     words = F.filter(
         tokens(text), lambda w: (F.length(w) >= min_chars) & ~w.isin(*ENGLISH_STOPWORDS)
     )
-    ordered = df.select(key, F.sort_array(words).alias("_words"))
+    ordered = with_computed(df.select(key, text), "_words", F.sort_array(words))
     last = F.size("_words") - 1
     positions = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    starts = ordered.select(
-        key,
-        "_words",
-        F.filter(
-            positions, lambda i: (i == 0) | (F.get("_words", i) != F.get("_words", i - 1))
-        ).alias("_starts"),
-    )
+    starts = F.filter(positions, lambda i: (i == 0) | (F.get("_words", i) != F.get("_words", i - 1)))
     terms = F.transform(
         "_starts",
         lambda start, run: F.struct(
@@ -42,7 +36,7 @@ def document_terms(
             (F.coalesce(F.get("_starts", run + 1), F.size("_words")) - start).cast("bigint").alias("tf"),
         ),
     )
-    return starts.select(key, terms.alias("terms"))
+    return with_computed(with_computed(ordered, "_starts", starts), "terms", terms).select(key, "terms")
 
 
 def term_rows(terms: DataFrame) -> DataFrame:
