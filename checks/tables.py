@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sentiflow.functions import leading_bits, tokens
 from sentiflow.operators import clean_reviews
+from sentiflow.sources import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,7 +29,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(5)
     )
     return (
-        table(spark, sf_dir, "documents")
+        spread(table(spark, sf_dir, "documents"))
         .join(table(spark, sf_dir, "labels"), "doc_id", "left")
         .select(
             F.col("doc_id").alias("review_id"),

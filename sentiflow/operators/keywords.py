@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import ENGLISH_STOPWORDS, KEYWORD_POS, MIN_KEYWORD_LENGTH, TOP_WORDS
-from ..functions.text import tokens
+from ..functions.text import tokens, with_computed
 from .lookup import BROADCAST_BYTES, HOT_KEYS, lookup
 from .summary import domain_words, rank_words, token_rows
 
@@ -102,24 +102,31 @@ def keywords_with(
     NULL and empty texts give an empty array.
     """
 
-    @F.pandas_udf(TAGGED)
-    def tag(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(TAGGED)
+    def tag(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tagger = factory()
         for texts in batches:
-            yield texts.map(
-                lambda t: [dict(zip(("form", "lemma", "pos"), row)) for row in tagger(t)] if t else []
+            ends, parts = [0], []
+            for text in texts.to_pylist():
+                parts.extend(tagger(text) if text else ())
+                ends.append(len(parts))
+            columns = zip(*parts) if parts else ((), (), ())
+            fields = [pa.array(column, pa.string()) for column in columns]
+            yield pa.ListArray.from_arrays(
+                pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, ["form", "lemma", "pos"])
             )
 
     stop = domain_words(stop_sets)
     wanted = F.filter(
-        tag(text),
+        "_tags",
         lambda t: t["form"].rlike("^[A-Za-z]+$")
         & (F.length(t["form"]) > MIN_KEYWORD_LENGTH)
         & ~F.lower(t["form"]).isin(*ENGLISH_STOPWORDS)
         & t["pos"].isin(*KEYWORD_POS)
         & (~F.lower(t["lemma"]).isin(*stop) if stop else F.lit(True)),
     )
-    return df.withColumn("keywords", F.transform(wanted, lambda t: F.lower(t["lemma"])))
+    lemmas = F.transform(wanted, lambda t: F.lower(t["lemma"]))
+    return with_computed(df.withColumn("_tags", tag(text)), "keywords", lemmas).drop("_tags")
 
 
 def keywords_top_with(

@@ -9,7 +9,7 @@ from .reviews import (
     requests_df,
     with_content_key,
 )
-from .storage import scratch_path, shared_dir, stage
+from .storage import scratch_path, shared_dir, spread, stage
 
 __all__ = [
     "CORRUPT",
@@ -22,6 +22,7 @@ __all__ = [
     "requests_df",
     "scratch_path",
     "shared_dir",
+    "spread",
     "stage",
     "with_content_key",
 ]

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ..functions.fixed_values import SENTIMENTS
 from ..functions.hashing import key_hash
 from ..functions.ratings import sentiment_name
+from .storage import spread
 
 REVIEW_COLUMNS = ["Reviews", "Rating", "Product Name", "Brand Name", "Price"]
 CORRUPT = "_corrupt_record"
@@ -47,10 +48,9 @@ def read_reviews_csv(
     scan = reader.schema(T.StructType(fields + corrupt)).options(
         mode=mode, columnNameOfCorruptRecord=CORRUPT, enforceSchema=False
     )
-    return scan.csv(path).select(
-        *(f"`{c}`" for c in REVIEW_COLUMNS + (["review_id"] if "review_id" in names else [])),
-        *(f.name for f in corrupt),
-    )
+    key = ["review_id"] if "review_id" in names else []
+    columns = [f"`{c}`" for c in REVIEW_COLUMNS + key] + [f.name for f in corrupt]
+    return spread(scan.csv(path).select(*columns))
 
 
 def corrupt_rows(table: DataFrame) -> DataFrame:
@@ -73,12 +73,13 @@ def read_reviews(
     unique and the same however the scan is partitioned, otherwise a digest of the content.
     """
     table = spark.read.format(fmt).options(**options).load(path)
-    if not key or "review_id" in table.columns:
-        return table
-    if fmt == "parquet":
-        position = F.concat_ws(":", F.col("_metadata.file_name"), F.col("_metadata.row_index"))
-        return table.select(position.alias("review_id"), "*")
-    return with_content_key(table)
+    if key and "review_id" not in table.columns:
+        if fmt == "parquet":
+            position = F.concat_ws(":", F.col("_metadata.file_name"), F.col("_metadata.row_index"))
+            table = table.select(position.alias("review_id"), "*")
+        else:
+            table = with_content_key(table)
+    return spread(table)
 
 
 def with_content_key(reviews: DataFrame) -> DataFrame:

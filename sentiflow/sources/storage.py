@@ -35,3 +35,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Use all cores on a scan that has too few splits for them, such as one file of one row group.
+
+    Only a scan with at most half as many splits as there are cores is repartitioned, so what is
+    shuffled is small by construction. Any larger scan is returned as it is. ``scan`` must be a plain
+    file scan: counting its splits then runs nothing.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan
