@@ -250,7 +250,7 @@ def _training_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 
 
 def hashing_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token totals and the share of buckets used, from the hashed vectors."""
+    """Tokens per document, summed from its hashed vector."""
     cleaned = tables.cleaned(spark, sf_dir)
     featurize = Pipeline(stages=ops.hashing_stages()[:3]).fit(cleaned)
     vector = vector_to_array("rawFeatures")
@@ -261,7 +261,7 @@ def hashing_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vocab_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = stage(tables.cleaned(spark, sf_dir).select("review_id", "clean_text"), "texts")
-    features, _ = ops.vocab_features(cleaned.withColumn("label", F.lit(0.0)))
+    features, *_ = ops.vocab_features(cleaned.withColumn("label", F.lit(0.0)))
     vectors = features.transform(cleaned).select("review_id", vector_to_array("features").alias("v"))
     total = F.aggregate("v", F.lit(0.0), lambda total, x: total + x)
     used = F.size(F.filter("v", lambda x: x != 0))

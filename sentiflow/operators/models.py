@@ -31,6 +31,26 @@ from .prepare import split_rejects
 from .terms import TermStatistics, document_terms
 
 
+# A training partition should hold at least this much: each optimiser step pays for every task.
+TRAINING_PARTITION_BYTES = 16 * 1024 * 1024
+_BYTES_PER_ENTRY = 12  # index and value in a sparse vector
+
+
+def _fit_learner(
+    features: PipelineModel, train: DataFrame, learner: LogisticRegression, entries: int
+) -> PipelineModel:
+    """Fit ``learner`` on transformed training rows with ``entries`` non-zero features in all.
+
+    Small training data, less than one full partition per core, is brought into a few full
+    partitions first. Larger data keeps the partitions of its scan and is not shuffled.
+    """
+    rows = features.transform(train).select("features", "label")
+    full = max(1, -(-entries * _BYTES_PER_ENTRY // TRAINING_PARTITION_BYTES))
+    if full < train.sparkSession.sparkContext.defaultParallelism:
+        rows = rows.repartition(full)
+    return PipelineModel([*features.stages, learner.fit(rows)])
+
+
 def hashing_stages(num_features: int = FEATURE_WIDTH) -> list:
     """Tokens, stop words, hashed term frequency, inverse document frequency."""
     return [
@@ -57,19 +77,22 @@ def fit_hashing(
         family="multinomial",
         aggregationDepth=aggregation_depth,
     )
-    return Pipeline(stages=[*hashing_stages(num_features), learner]).fit(
-        train.select("clean_text", "label")
-    )
+    texts = train.select("clean_text", "label")
+    features = Pipeline(stages=hashing_stages(num_features)).fit(texts)
+    # Document frequencies add up to the number of non-zero entries.
+    return _fit_learner(features, texts, learner, int(sum(features.stages[-1].docFreq)))
 
 
-def vocab_features(train: DataFrame, size: int = FEATURE_WIDTH) -> tuple[PipelineModel, int]:
-    """Fitted vocabulary TF-IDF stages and the number of training documents.
+def vocab_features(
+    train: DataFrame, size: int = FEATURE_WIDTH
+) -> tuple[PipelineModel, int, int]:
+    """Fitted vocabulary TF-IDF stages, the number of training documents and of feature entries.
 
     The vocabulary is the ``size`` most frequent words with ties by word, so refits agree; only
     these rows come to the driver, as part of the model. Vectors are built inside each row.
     """
     stats = TermStatistics.of(document_terms(train, "label", min_chars=2))
-    vocabulary = stats.vocabulary(size).select("word", "idf").collect()
+    vocabulary = stats.vocabulary(size).collect()
     if not vocabulary:
         raise ValueError("no words to train on")
     counter = CountVectorizerModel.from_vocabulary(
@@ -86,7 +109,7 @@ def vocab_features(train: DataFrame, size: int = FEATURE_WIDTH) -> tuple[Pipelin
         ),
         Normalizer(inputCol="weightedFeatures", outputCol="features", p=2.0),
     ]
-    return PipelineModel(stages), stats.documents
+    return PipelineModel(stages), stats.documents, sum(row["documents"] for row in vocabulary)
 
 
 def fit_vocab(
@@ -102,7 +125,7 @@ def fit_vocab(
     ``c`` weighs the summed loss against half the squared norm, which is ``regParam = 1 / (c * n)``
     for the mean loss used here. ``tol`` is tight enough to leave no gradient component above 1e-4.
     """
-    features, documents = vocab_features(train, size)
+    features, documents, entries = vocab_features(train, size)
     learner = LogisticRegression(
         featuresCol="features",
         labelCol="label",
@@ -114,8 +137,7 @@ def fit_vocab(
         family="multinomial",
         aggregationDepth=aggregation_depth,
     )
-    fitted = learner.fit(features.transform(train.select("clean_text", "label")))
-    return PipelineModel([*features.stages, fitted])
+    return _fit_learner(features, train.select("clean_text", "label"), learner, entries)
 
 
 def predict(model: PipelineModel, reviews: DataFrame, digits: int | None = None) -> DataFrame:
