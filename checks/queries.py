@@ -143,8 +143,7 @@ def keywords_top_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lexicon = stage(tables.lexicon(spark, sf_dir), "lexicon")
-    return ops.keywords(tables.cleaned(spark, sf_dir), lexicon)
+    return ops.keywords(tables.cleaned(spark, sf_dir), tables.lexicon(spark, sf_dir))
 
 
 def keywords_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,9 +174,8 @@ SAMPLE_PER_CLASS = 50
 
 
 def top_words_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.top_words(
-        tables.cleaned(spark, sf_dir), stop_sets=("custom", "canonical"), sample_size=SAMPLE_PER_CLASS
-    )
+    reviews = stage(tables.cleaned(spark, sf_dir).select("review_id", "clean_text", "label"), "reviews")
+    return ops.top_words(reviews, stop_sets=("custom", "canonical"), sample_size=SAMPLE_PER_CLASS)
 
 
 def top_words_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,8 +243,8 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _training_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    columns = ["review_id", "clean_text", "label"]
-    return ops.hash_split(stage(tables.cleaned(spark, sf_dir).select(*columns), "training"))
+    reviews = tables.cleaned(spark, sf_dir).select("review_id", "clean_text", "label")
+    return ops.train_and_test(stage(ops.with_hash_split(reviews), "training", ("split",)))
 
 
 def hashing_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,9 +272,8 @@ def fit_hashing_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fit_vocab_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = ["review_id", "clean_text", "label"]
-    train, test = ops.stratified_split(stage(tables.cleaned(spark, sf_dir).select(*columns), "training"))
-    train = stage(train, "train")
+    reviews = stage(tables.cleaned(spark, sf_dir).select("review_id", "clean_text", "label"), "reviews")
+    train, test = ops.train_and_test(stage(ops.with_stratified_split(reviews), "training", ("split",)))
     return ops.weighted_metrics(ops.predict(ops.fit_vocab(train, max_iter=100), test))
 
 

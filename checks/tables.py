@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sentiflow.functions import leading_bits, tokens
 from sentiflow.operators import clean_reviews
-from sentiflow.sources import spread
+from sentiflow.sources import spread, stage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,14 +76,15 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A lexicon over all words of the corpus; it makes no linguistic claim."""
+    """A lexicon over all words of the corpus, stored as a table; it makes no linguistic claim."""
     forms = cleaned(spark, sf_dir).select(F.explode(tokens("clean_text")).alias("form")).distinct()
     third = leading_bits(F.md5("form"), 8) % 3
-    return forms.select(
+    entries = forms.select(
         "form",
         F.regexp_replace("form", "s$", "").alias("lemma"),
         F.when(third == 0, "ADJ").when(third == 1, "NOUN").otherwise("OTHER").alias("pos"),
     )
+    return stage(entries, "lexicon")
 
 
 def lexicon_tagger():

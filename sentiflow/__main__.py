@@ -1,4 +1,4 @@
-"""Command line for ``spark-submit``: analyse, score and export reviews."""
+"""Command line: analyse, score and export reviews."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .operators.models import load_model, save_model, score
 from .operators.prepare import split_rejects
 from .plans import analyse, export_reviews
-from .sinks import publish, write_metrics
+from .sinks import write_metrics
 from .sources import ingest_reviews_csv, read_reviews, scratch_path
 
 
@@ -24,7 +24,7 @@ def _analyse(spark: SparkSession, args: argparse.Namespace) -> None:
     lexicon = spark.read.parquet(args.lexicon) if args.lexicon else None
     result = analyse(_reviews(spark, args.reviews, args.format), lexicon=lexicon)
     run_id = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
-    publish(result.tables(), args.out, run_id, latest=True)
+    result.publish(args.out, run_id)
     write_metrics(result.metrics, f"{args.out}/metrics_log", run_id)
     save_model(result.model, args.model or f"{args.out}/model")
     for table in (result.metrics, result.report, result.confusion_matrix):

@@ -35,6 +35,7 @@ from .split import (
     sample_per_class,
     sample_rows,
     stratified_split,
+    train_and_test,
     with_hash_split,
     with_stratified_split,
 )

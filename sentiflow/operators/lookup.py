@@ -45,6 +45,6 @@ def lookup(
         counts = stage(rows.groupBy(on).agg(F.count(F.lit(1)).alias("n")), "key-counts")
     total = counts.agg(F.sum("n")).first()[0] or 0
     hot = F.broadcast(counts.filter(F.col("n") * hot_keys > total).select(on))
-    hot_rows = rows.join(hot, on, "left_semi").join(F.broadcast(table.join(hot, on, "left_semi")), on, how)
+    hot_rows = rows.join(F.broadcast(hot.join(table, on, how)), on)
     other_rows = rows.join(hot, on, "left_anti").join(table, on, how)
     return hot_rows.unionByName(other_rows)

@@ -27,7 +27,7 @@ def hash_split(
     df: DataFrame, key: str = "review_id", train: float = TRAIN_SHARE, seed: int = SEED
 ) -> tuple[DataFrame, DataFrame]:
     """``(train, test)``."""
-    return _halves(with_hash_split(df, key, train, seed))
+    return train_and_test(with_hash_split(df, key, train, seed))
 
 
 def with_stratified_split(
@@ -51,7 +51,7 @@ def stratified_split(
     seed: int = SEED,
 ) -> tuple[DataFrame, DataFrame]:
     """``(train, test)``."""
-    return _halves(with_stratified_split(df, label, key, train, seed))
+    return train_and_test(with_stratified_split(df, label, key, train, seed))
 
 
 def sample_per_class(
@@ -67,7 +67,8 @@ def sample_rows(df: DataFrame, size: int, key: str = "review_id", seed: int = SE
     return sample_per_class(one, size, "_all", key, seed).drop("_all")
 
 
-def _halves(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+def train_and_test(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The two parts of a table with a ``split`` column."""
     return (
         df.filter(F.col("split") == "train").drop("split"),
         df.filter(F.col("split") == "test").drop("split"),

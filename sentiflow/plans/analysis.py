@@ -19,8 +19,9 @@ from ..operators.evaluate import (
 from ..operators.keywords import keywords_top
 from ..operators.models import fit_hashing, predict
 from ..operators.prepare import clean_reviews
-from ..operators.split import hash_split
+from ..operators.split import train_and_test, with_hash_split
 from ..operators.summary import sample_predictions, top_words
+from ..sinks.publish import publish
 from ..sources.storage import stage
 
 
@@ -28,7 +29,7 @@ from ..sources.storage import stage
 class Analysis:
     """Results of a run. All tables are lazy and read the two staged ones."""
 
-    reviews: DataFrame  # cleaned and labelled, staged
+    reviews: DataFrame  # cleaned, labelled and split, staged
     predictions: DataFrame  # scored test reviews, staged
     model: PipelineModel
     class_distribution: DataFrame
@@ -47,11 +48,22 @@ class Analysis:
             "metrics": metrics_row(self.metrics),
         }
         for class_id, name in SENTIMENTS.items():
-            words = self.top_words.filter(F.col("label") == class_id).orderBy("rank")
-            tables[f"top_{name.lower()}_words"] = words.select("word", "count")
+            words = self.top_words.filter(F.col("label") == class_id)
+            tables[_words_table(name)] = words.select("word", "count")
         tables["sample_predictions"] = self.samples
         return tables
 
+    def publish(self, out_dir: str, run_id: str, latest: bool = True) -> dict[str, str]:
+        """Write the result tables as CSV, rows in reading order."""
+        by_count = [F.desc("count"), "word"]
+        order = {_words_table(name): by_count for name in SENTIMENTS.values()}
+        order |= {"class_distribution": ["label"], "sample_predictions": self.samples.columns[:1]}
+        return publish(self.tables(), out_dir, run_id, latest, order)
+
+
+def _words_table(sentiment: str) -> str:
+    return f"top_{sentiment.lower()}_words"
+
 
 def analyse(
     reviews: DataFrame,
@@ -66,13 +78,15 @@ def analyse(
 ) -> Analysis:
     """Raw reviews to an ``Analysis``.
 
-    Cleaning runs once: the cleaned reviews are staged in shared storage, and each later step reads
-    only the columns it needs. So are the predictions, which hold the test share without features.
+    Cleaning runs once: the cleaned reviews are staged in shared storage by split, and each later
+    step reads only the columns and the part it needs. So are the predictions, without features.
     Metrics, report and confusion matrix use every test row. With a ``lexicon`` the top words are
     keywords, otherwise plain words without stop words.
     """
-    cleaned = stage(clean_reviews(reviews, mode), "reviews")
-    train, test = hash_split(cleaned, key, train_share, seed)
+    cleaned = stage(
+        with_hash_split(clean_reviews(reviews, mode), key, train_share, seed), "reviews", ("split",)
+    )
+    train, test = train_and_test(cleaned)
     model = fit(train)
     predictions = stage(predict(model, test.select(key, "clean_text", "label")), "predictions")
     if lexicon is None:

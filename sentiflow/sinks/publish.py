@@ -2,32 +2,41 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 LATEST = "latest"
 
 
 def publish(
-    results: Mapping[str, DataFrame], out_dir: str, run_id: str, latest: bool = False
+    results: Mapping[str, DataFrame],
+    out_dir: str,
+    run_id: str,
+    latest: bool = False,
+    order: Mapping[str, Sequence[Column | str]] | None = None,
 ) -> dict[str, str]:
     """Write each table as one CSV file with a header under ``<out>/<name>/run_id=<run_id>``.
 
     ``latest=True`` also replaces ``<out>/latest/<name>``, for readers that want a stable path.
-    Tables are reports of a few rows. They are brought together by a shuffle and not by narrowing
-    the last stage, so what computes them stays parallel. Returns the path of every table.
+    ``order`` gives the row order of a file. Tables are reports of a few rows. They are brought
+    together by a shuffle and not by narrowing the last stage, so what computes them stays parallel.
+    Returns the path of every table.
     """
     paths = {}
     for name, table in results.items():
+        columns = (order or {}).get(name, ())
         paths[name] = f"{out_dir}/{name}/run_id={run_id}"
-        _write_csv(table, paths[name])
+        _write_csv(table, paths[name], columns)
         if latest:
             # The copy is made from the published file: the report is computed once.
             published = table.sparkSession.read.schema(table.schema).csv(paths[name], header=True)
-            _write_csv(published, f"{out_dir}/{LATEST}/{name}")
+            _write_csv(published, f"{out_dir}/{LATEST}/{name}", columns)
     return paths
 
 
-def _write_csv(table: DataFrame, path: str) -> None:
-    table.repartition(1).write.mode("overwrite").option("header", True).csv(path)
+def _write_csv(table: DataFrame, path: str, order: Sequence[Column | str]) -> None:
+    single = table.repartition(1)
+    if order:
+        single = single.sortWithinPartitions(*order)
+    single.write.mode("overwrite").option("header", True).csv(path)

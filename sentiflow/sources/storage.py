@@ -30,10 +30,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/sentiflow/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as parquet to shared storage and read it back."""
+def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` once as parquet to shared storage and read it back.
+
+    Filters on ``partition_by`` columns later skip whole files.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
