@@ -193,7 +193,20 @@ cleaned AS (
 ){_WORD_COUNTS.format(extra=f"AND word NOT IN ({DOMAIN})")}
 {_RANKED.format(table="counts", n=15)}"""
 
+_SCORED_ROWS = f"""WITH {_REQUESTS}
+SELECT request_id, text, clean_text, CAST(1 AS INTEGER) AS valid FROM cleaned_requests WHERE clean_text <> ''"""
+
 ORACLES = {
+    "scored_request_rows": _SCORED_ROWS,
+    "scored_stream_rows": _SCORED_ROWS,
+    "full_analysis_support": _over_reviews(
+        f"""SELECT c.sentiment AS name, count(t.review_id) AS support
+FROM classes c LEFT JOIN test t ON t.label = c.label GROUP BY c.sentiment
+UNION ALL SELECT 'accuracy', count(*) FROM test""",
+        _CLASSES
+        + f""",
+test AS (SELECT * FROM cleaned WHERE ('0x' || substr({_SPLIT_HASH}, 1, 8))::BIGINT % 10000 >= 8000)""",
+    ),
     "csv_roundtrip": _ALL_REVIEWS,
     "columnar_roundtrip": _ALL_REVIEWS,
     "project_reviews": _ALL_REVIEWS,

@@ -351,6 +351,33 @@ def full_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(analyse(tables.reviews(spark, sf_dir)).report, "precision", "recall", "f1")
 
 
+# What SQL can tell about trained models: every row is scored once, and scores are in range.
+
+
+def _scored_rows(scored: DataFrame) -> DataFrame:
+    chances = [F.col(f"{c}_probability") for c in ("negative", "neutral", "positive")]
+    highest = F.greatest(*chances)
+    valid = (
+        (F.abs(chances[0] + chances[1] + chances[2] - 1) < 0.001)
+        & (F.element_at(F.array(*chances), F.col("label") + 1) == highest)
+        & (F.col("prediction") == sentiment_name(F.col("label").cast("double")))
+    )
+    return scored.select("request_id", "text", "clean_text", valid.cast("int").alias("valid"))
+
+
+def scored_request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored_rows(score_saved_model(spark, sf_dir))
+
+
+def scored_stream_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored_rows(score_stream(spark, sf_dir))
+
+
+def full_analysis_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows per class in the report of a whole run."""
+    return full_analysis(spark, sf_dir).filter(~F.col("name").contains("avg")).select("name", "support")
+
+
 QUERIES = {
     "csv_roundtrip": csv_roundtrip,
     "columnar_roundtrip": columnar_roundtrip,
@@ -403,4 +430,7 @@ QUERIES = {
     "documents_capped": documents_capped,
     "document_records": document_records,
     "full_analysis": full_analysis,
+    "scored_request_rows": scored_request_rows,
+    "scored_stream_rows": scored_stream_rows,
+    "full_analysis_support": full_analysis_support,
 }

@@ -44,10 +44,12 @@ def with_label(df: DataFrame, col: str = "Rating") -> DataFrame:
 def clean_reviews(df: DataFrame, mode: str = "trimmed", min_chars: int = MIN_CLEAN_LENGTH) -> DataFrame:
     """Raw reviews to cleaned, labelled reviews: one narrow stage, no shuffle.
 
-    The cheap rating test runs before any text is touched.
+    The cheap rating test runs before any text is touched. It leaves only ratings that have a class,
+    so no row needs to be dropped for its label.
     """
     rated = valid_rating(drop_missing(project_reviews(df)))
-    return with_label(min_length(with_clean_text(rated, mode=mode), min_chars))
+    long_enough = min_length(with_clean_text(rated, mode=mode), min_chars)
+    return long_enough.withColumn("label", label_from_rating("Rating"))
 
 
 def for_class(df: DataFrame, label: float) -> DataFrame:

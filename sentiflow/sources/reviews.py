@@ -69,14 +69,14 @@ def read_reviews(
 ) -> DataFrame:
     """Reviews from columnar files.
 
-    Without a ``review_id`` column one is added: file name and row position for parquet, which is
-    unique and the same however the scan is partitioned, otherwise a digest of the content.
+    Without a ``review_id`` column one is added: a digest of file and row position for parquet, which
+    is unique and the same however the scan is partitioned, otherwise a digest of the content.
     """
     table = spark.read.format(fmt).options(**options).load(path)
     if key and "review_id" not in table.columns:
         if fmt == "parquet":
-            position = F.concat_ws(":", F.col("_metadata.file_name"), F.col("_metadata.row_index"))
-            table = table.select(position.alias("review_id"), "*")
+            position = F.concat_ws(":", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+            table = table.select(F.md5(position).alias("review_id"), "*")
         else:
             table = with_content_key(table)
     return spread(table)
