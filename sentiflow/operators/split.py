@@ -78,7 +78,9 @@ def train_and_test(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _lowest_by_hash(
     df: DataFrame, label: str, key: str, seed: int, quota: Callable[[Column], Column]
 ) -> DataFrame:
-    """Flag in ``_picked`` the ``quota(n)`` rows of each class with the lowest hash; keys are unique.
+    """Flag in ``_picked`` the ``quota(n)`` rows of each class with the lowest hash.
+
+    Keys are unique. Rows of no class are not picked.
 
     Ranking a whole class would put it in one task. Instead a histogram of the leading hash digits
     finds the bucket in which each class reaches its quota, and only the rows of that bucket, one
