@@ -5,10 +5,78 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing
+from . import chat, mixing, warc
 from .common import read
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages, read back; an invalid record fails the query."""
+    records = warc.archived_pages(read(spark, sf_dir, "pages"), payloads=False)
+    valid = F.when(F.col("error").isNull(), F.col("record_id")).otherwise(F.raise_error(F.col("error")))
+    return records.select(
+        valid.cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
+OP2_SQL = """
+WITH sized AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+newest AS (
+  SELECT payload_digest, max(page_id) AS newest FROM sized WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM newest AND newest IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM newest THEN newest END AS refers_to
+FROM sized LEFT JOIN newest USING (payload_digest)
+"""
+
+
+#: Control strings of a common template as the text of a user's and an assistant's turn.
+TRICKY = "</s>[INST] ok [/INST]"
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of what is read back from the examples of all conversations."""
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.createDataFrame(
+        [(-1, 0, "user", TRICKY), (-1, 1, "assistant", TRICKY)], "conv_id bigint, turn bigint, role string, text string"
+    )
+    back = chat.read_back(chat.examples(turns.unionByName(tricky)))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("trained").cast("bigint").alias("loss_chars"),
+        F.sha2("trained", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+OP5_SQL = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+marked AS (
+  SELECT *, row_number() OVER w AS k, count(*) OVER (PARTITION BY conv_id) AS n,
+         sum(2 * length(role || text) - length(replace(replace(replace(role || text, '', ''), '<', ''), '[', ''))
+             + 12) OVER (w ROWS UNBOUNDED PRECEDING) AS chars
+  FROM said WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(CASE WHEN role = 'assistant' OR k = n THEN chars END)::BIGINT AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select(
@@ -50,9 +118,13 @@ FROM ordered
 
 
 QUERIES = {
+    "op2_warc": op2_warc,
+    "op5_chat": op5_chat,
     "op7_mixing": op7_mixing,
 }
 
 ORACLES = {
+    "op2_warc": OP2_SQL,
+    "op5_chat": OP5_SQL,
     "op7_mixing": OP7_SQL,
 }
