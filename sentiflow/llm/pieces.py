@@ -9,25 +9,23 @@ words it has merged, up to a bound.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 SPACE = "▁"
 #: No pair: larger than any rank.
 NONE = np.int64(1) << 40
 #: A task forgets its merged words beyond this number, and merges this many characters at once.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 500_000
 MERGE_CHARS = 2_000_000
-#: Rows go out in batches of about this many ids.
-IDS_OUT = 1_000_000
 CUT = re.compile(f"{SPACE}?[^{SPACE}\n]+|\n+|{SPACE}+(?={SPACE}[^{SPACE}\n])|{SPACE}+")
 
-ENCODED = "row bigint, ids array<int>"
-
 
 class Pieces:
     """Vocabulary of a SentencePiece BPE model with byte pieces and identity normalisation.
@@ -54,6 +52,10 @@ class Pieces:
         pairs = [(self.ids[p[:c]], self.ids[p[c:]], i) for p, i in self.ids.items() for c in range(1, len(p)) if p[:c] in self.ids and p[c:] in self.ids]
         left, right, merged = np.array(sorted(pairs), np.int64).T
         self.keys, self.merged = left * n + right, merged
+        self.number = np.arange(n, n + 0x110000)
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                self.number[ord(p)] = i
         self.space = self.ids[SPACE]
         lengths = {k for k in range(1, 64) if SPACE * k in self.ids}
         self.longest_run = max(lengths)
@@ -81,18 +83,16 @@ class Pieces:
         piece = np.where(found, self.merged[at], 0)
         return np.where(found, self.rank[piece], NONE), piece
 
-    def merge_words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word, merged as the library does: best rank first, leftmost among equals."""
+    def merge_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row and how many each has, merged as the library does: best rank
+        first, leftmost among equals. Words are not empty."""
         if not words:
-            return []
-        points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
-        chars, index = np.unique(points, return_inverse=True)
-        number = np.array([self.ids.get(chr(c), self.size + int(c)) for c in chars], np.int64)
-        symbol = number[index]
+            return np.empty(0, np.int32), np.empty(0, np.int64)
+        symbol = self.number[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
         word = np.repeat(np.arange(len(words)), [len(w) for w in words])
         done: list[tuple[np.ndarray, np.ndarray]] = []
+        rank, piece = self._ranks(symbol, word)
         while len(symbol):
-            rank, piece = self._ranks(symbol, word)
             first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             best = np.minimum.reduceat(rank, first)
             length = np.diff(np.r_[first, len(symbol)])
@@ -105,19 +105,25 @@ class Pieces:
                 if not len(symbol):
                     break
             chosen = self._leftmost(rank == np.repeat(best, length))
-            chosen = self._without_conflicts(symbol, word, rank, piece, chosen, best, length)
-            symbol = np.where(chosen, piece, symbol)
+            chosen = self._without_conflicts(symbol, word, rank, piece, chosen)
+            symbol[chosen] = piece[chosen]
             keep = np.r_[True, ~chosen[:-1]]
-            symbol, word = symbol[keep], word[keep]
+            symbol, word, rank, piece = symbol[keep], word[keep], rank[keep], piece[keep]
+            merged = chosen[keep]
+            # Only pairs with a merged symbol are new.
+            changed = np.flatnonzero(merged | np.r_[merged[1:], False])
+            rank[changed], piece[changed] = self._ranks_at(symbol, word, changed)
         return self._split(done, len(words))
 
-    def _ranks(self, symbol: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        rank, piece = np.full(len(symbol), NONE), np.zeros(len(symbol), np.int64)
-        if len(symbol) > 1:
-            rank[:-1], piece[:-1] = self.pair_ranks(symbol[:-1], symbol[1:])
-            rank[:-1][word[1:] != word[:-1]] = NONE
+    def _ranks_at(self, symbol: np.ndarray, word: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        right = np.minimum(at + 1, len(symbol) - 1)
+        rank, piece = self.pair_ranks(symbol[at], symbol[right])
+        rank[(word[right] != word[at]) | (right == at)] = NONE
         return rank, piece
 
+    def _ranks(self, symbol: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self._ranks_at(symbol, word, np.arange(len(symbol)))
+
     @staticmethod
     def _leftmost(candidate: np.ndarray) -> np.ndarray:
         """Of candidates in a row, which overlap, every other one from the left."""
@@ -125,7 +131,7 @@ class Pieces:
         start = candidate & ~np.r_[False, candidate[:-1]]
         return candidate & ((at - np.maximum.accumulate(np.where(start, at, -1))) % 2 == 0)
 
-    def _without_conflicts(self, symbol, word, rank, piece, chosen, best, length) -> np.ndarray:
+    def _without_conflicts(self, symbol, word, rank, piece, chosen) -> np.ndarray:
         """Keep all merges of a word unless one makes a pair that comes before the next merge.
 
         One merge after another, the library would then take that pair first; such a word keeps its
@@ -153,7 +159,7 @@ class Pieces:
         chosen[at[in_risky & not_first]] = False
         return chosen
 
-    def _split(self, done: list[tuple[np.ndarray, np.ndarray]], n: int) -> list[np.ndarray]:
+    def _split(self, done: list[tuple[np.ndarray, np.ndarray]], n: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids per word; characters that are no piece become their bytes."""
         word = np.concatenate([w for w, _ in done])
         symbol = np.concatenate([s for _, s in done])
@@ -173,8 +179,7 @@ class Pieces:
             inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
             ids[np.repeat(ends[unknown] - counts, counts) + inner] = flat[np.repeat(starts, counts) + inner]
             symbol = ids
-        cuts = np.searchsorted(word, np.arange(1, n))
-        return np.split(symbol.astype(np.int32), cuts)
+        return symbol.astype(np.int32), np.bincount(word, minlength=n)
 
     def _grown(self, run: list[int], lengths: set[int]) -> np.ndarray:
         """Ids of a short run: all merges are equal, so the leftmost possible one comes first."""
@@ -199,65 +204,90 @@ class Encoder:
 
     def __init__(self, model: str):
         self.pieces = Pieces(model)
-        self.known: dict[str, np.ndarray] = {}
-
-    def _learn(self, words: set[str]) -> None:
-        new, size = [], 0
-        for word in words:
-            if word not in self.known:
-                new.append(word)
-                size += len(word)
-                if size >= MERGE_CHARS:
-                    self.known.update(zip(new, self.pieces.merge_words(new)))
-                    new, size = [], 0
-        self.known.update(zip(new, self.pieces.merge_words(new)))
-
-    def encode(self, text: str) -> np.ndarray:
-        """Ids of one text without an end id. No text, no ids."""
-        if not text:
-            return np.empty(0, np.int32)
-        words = CUT.findall(SPACE + text.replace(" ", SPACE))
-        if len(self.known) > KNOWN_WORDS:
-            self.known = {}
-        known = self.known
-        if missing := {w for w in words if w not in known and w[-1] != SPACE}:
-            self._learn(missing)
-        if not any(w[-1] == SPACE for w in words):
-            return np.concatenate([known[w] for w in words])
-        # A word's space mark that merged with nothing belongs to the run of marks before it.
+        self._forget()
+
+    def _forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.flat = np.empty(0, np.int32)
+        self.starts = np.empty(0, np.int64)
+        self.counts = np.empty(0, np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        flats, counts, start = [self.flat], [self.counts], 0
+        ends = np.cumsum([len(w) for w in words]) if words else []
+        while start < len(words):
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + MERGE_CHARS, "right")))
+            flat, count = self.pieces.merge_words(words[start:stop])
+            flats.append(flat)
+            counts.append(count)
+            start = stop
+        self.index.update(zip(words, range(len(self.index), len(self.index) + len(words))))
+        self.flat, self.counts = np.concatenate(flats), np.concatenate(counts)
+        self.starts = np.cumsum(self.counts) - self.counts
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text without an end id. No text, no ids."""
+        cut = [CUT.findall(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts]
+        distinct = set().union(*cut)
+        runs = {w for w in distinct if w[-1] == SPACE}
+        if len(self.index) > KNOWN_WORDS:
+            self._forget()
+        self._learn([w for w in distinct - runs if w not in self.index])
+        plain = [words if runs.isdisjoint(words) else [] for words in cut] if runs else cut
+        at = np.fromiter(map(self.index.__getitem__, itertools.chain.from_iterable(plain)), np.int64)
+        counts = self.counts[at]
+        ends = np.cumsum(counts)
+        ids = self.flat[np.repeat(self.starts[at] - ends + counts, counts) + np.arange(counts.sum())]
+        cuts = np.r_[0, ends][np.cumsum([len(words) for words in plain])]
+        out = np.split(ids, cuts[:-1])
+        if runs:
+            out = [self._with_runs(w) if w and not p else x for w, p, x in zip(cut, plain, out)]
+        return out
+
+    def _with_runs(self, words: list[str]) -> np.ndarray:
+        """A word's space mark that merged with nothing belongs to the run of marks before it."""
         parts: list[np.ndarray] = []
         run = 0
         for w in words:
             if w[-1] == SPACE:
                 run += len(w)
                 continue
-            ids = known[w]
+            i = self.index[w]
+            ids = self.flat[self.starts[i] : self.starts[i] + self.counts[i]]
             if run and ids[0] == self.pieces.space:
-                parts += self.pieces.run(run + 1)
+                run += 1
                 ids = ids[1:]
-            elif run:
+            if run:
                 parts += self.pieces.run(run)
             run = 0
             parts.append(ids)
         return np.concatenate(parts + self.pieces.run(run))
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts have about ``MERGE_CHARS`` bytes together, one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(batch):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + MERGE_CHARS, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def _encode_task(batches: Iterable[pa.RecordBatch], model: str, decoded: bool) -> Iterator[pa.RecordBatch]:
     encoder = Encoder(model)
     end = np.array([encoder.pieces.end], np.int32)
     for batch in batches:
-        keys, texts = batch.column(0), batch.column(1)
-        start, ids, size = 0, [], 0
-        for i in range(len(batch)):
-            ids.append(np.concatenate([encoder.encode(texts[i].as_py() or ""), end]))
-            size += len(ids[-1])
-            if size >= IDS_OUT or i + 1 == len(batch):
-                offsets = np.cumsum([0] + [len(x) for x in ids], dtype=np.int32)
-                out = [keys.slice(start, len(ids)), pa.ListArray.from_arrays(offsets, np.concatenate(ids))]
-                if decoded:
-                    out.append(pa.array([encoder.pieces.decode(x.tolist()) for x in ids], pa.string()))
-                yield pa.RecordBatch.from_arrays(out, ["key", "ids", "decoded"][: len(out)])
-                start, ids, size = i + 1, [], 0
+        for part in _parts(batch):
+            keys, texts = part.column(0), part.column(1).to_pylist()
+            ids = [np.concatenate([x, end]) for x in encoder.encode(texts)]
+            offsets = np.cumsum([0] + [len(x) for x in ids], dtype=np.int32)
+            out = [keys, pa.ListArray.from_arrays(offsets, np.concatenate(ids))]
+            if decoded:
+                out.append(pa.array([encoder.pieces.decode(x.tolist()) for x in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays(out, ["key", "ids", "decoded"][: len(out)])
 
 
 def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, warc
+from . import chat, mixing, pieces, warc
 from .common import read
 
 
@@ -117,10 +118,25 @@ FROM ordered
 """
 
 
+#: The model's file; another one is a parameter of the operator.
+PIECES_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode(read(spark, sf_dir, "documents"), PIECES_MODEL, decoded=True)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op2_warc": op2_warc,
     "op5_chat": op5_chat,
     "op7_mixing": op7_mixing,
+    "op10_pieces": op10_pieces,
 }
 
 ORACLES = {
