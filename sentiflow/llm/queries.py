@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, pieces, warc
+from . import chat, licenses, mixing, pieces, warc
 from .common import read
 
 
@@ -37,6 +37,53 @@ FROM sized LEFT JOIN newest USING (payload_digest)
 """
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents")).drop("spans")
+
+
+def _template_rows() -> str:
+    listed = [(*x, True) for x in licenses.PHRASES.items()] + [(*x, False) for x in licenses.NOTICES.items()]
+    return ", ".join(f"({i}, '{words}', '{label}', {exact})" for i, (words, label, exact) in enumerate(listed))
+
+
+OP4_SQL = rf"""
+WITH template AS (
+  SELECT * FROM (VALUES {_template_rows()}) t(template, phrase, label, exact)),
+template_run AS (
+  SELECT template, label, exact, len(w) - 1 AS runs, unnest(range(1, len(w))) AS i, w
+  FROM (SELECT *, string_split(phrase, ' ') AS w FROM template)),
+template_gram AS (SELECT template, label, exact, runs, i - 1 AS pos, w[i] || ' ' || w[i + 1] AS gram FROM template_run),
+doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+gram AS (SELECT r, i - 1 AS place, w[i] || ' ' || w[i + 1] AS gram
+         FROM (SELECT r, w, unnest(range(1, len(w))) AS i FROM doc)),
+vote AS (
+  SELECT r, template, label, exact, runs, place - pos AS diagonal, list(DISTINCT pos) AS hits
+  FROM gram JOIN template_gram USING (gram) GROUP BY ALL
+  HAVING exact OR count(DISTINCT pos) >= 2),
+jump AS (
+  SELECT *, CASE WHEN exact THEN 1 WHEN diagonal - lag(diagonal) OVER w <= 3 THEN 0 ELSE 1 END AS jump
+  FROM vote WINDOW w AS (PARTITION BY r, template ORDER BY diagonal)),
+numbered AS (SELECT *, sum(jump) OVER (PARTITION BY r, template ORDER BY diagonal) AS span FROM jump),
+span AS (
+  SELECT r, template, label, exact, runs, span, len(list_distinct(flatten(list(hits)))) AS n,
+         min(diagonal) AS first, max(diagonal + list_max(hits)) AS last
+  FROM numbered GROUP BY ALL),
+known AS (
+  SELECT *, n / runs::DOUBLE AS share FROM span
+  WHERE CASE WHEN exact THEN n = runs ELSE n / runs::DOUBLE >= 0.75 AND last - first < 2 * runs END)
+SELECT doc_id, any_value(len(w))::BIGINT AS n_words, count(template) FILTER (exact) AS n_base,
+       min(first) FILTER (exact)::BIGINT AS first_word, max(first) FILTER (exact)::BIGINT AS last_word,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact), '') AS base_labels,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels,
+       coalesce(max(share), 0.0)::DOUBLE AS score
+FROM doc LEFT JOIN known USING (r) GROUP BY r, doc_id
+"""
+
+
 #: Control strings of a common template as the text of a user's and an assistant's turn.
 TRICKY = "</s>[INST] ok [/INST]"
 
@@ -134,6 +181,7 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_warc": op2_warc,
+    "op4_licenses": op4_licenses,
     "op5_chat": op5_chat,
     "op7_mixing": op7_mixing,
     "op10_pieces": op10_pieces,
@@ -141,6 +189,7 @@ QUERIES = {
 
 ORACLES = {
     "op2_warc": OP2_SQL,
+    "op4_licenses": OP4_SQL,
     "op5_chat": OP5_SQL,
     "op7_mixing": OP7_SQL,
 }
