@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, licenses, mixing, pieces, warc
+from . import chat, licenses, mixing, pieces, quality, warc
 from .common import read
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives of all pages, read back; an invalid record fails the query."""
     records = warc.archived_pages(read(spark, sf_dir, "pages"), payloads=False)
@@ -180,6 +184,7 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_warc": op2_warc,
     "op4_licenses": op4_licenses,
     "op5_chat": op5_chat,
