@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, licenses, mixing, pieces, quality, warc
+from . import chat, licenses, lines, mixing, pieces, quality, warc
 from .common import read
 
 
@@ -41,6 +41,30 @@ FROM sized LEFT JOIN newest USING (payload_digest)
 """
 
 
+def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = lines.without_spread_lines(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return cleaned.select("row.doc_id", "n_lines", "n_removed", "text")
+
+
+OP3_SQL = """
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, source, text, string_split(text, chr(10)) AS w FROM documents),
+line AS (
+  SELECT r, doc_id, source, i - 1 AS place, w[i] AS line, trim(w[i], ' ') AS plain
+  FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM doc)),
+spread AS (
+  SELECT plain, min(struct_pack(doc_id, place)) AS first FROM line
+  WHERE plain <> '' GROUP BY plain HAVING count(DISTINCT source) >= 8),
+kept AS (
+  SELECT r, string_agg(line, chr(10) ORDER BY place) FILTER (NOT removed) AS text, count(*) AS n_lines,
+         count(*) FILTER (removed) AS n_removed
+  FROM (SELECT l.*, first IS NOT NULL AND first <> struct_pack(l.doc_id, l.place) AS removed
+        FROM line l LEFT JOIN spread USING (plain)) GROUP BY r)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       CASE WHEN doc.text IS NOT NULL THEN coalesce(kept.text, '') END AS text
+FROM doc LEFT JOIN kept USING (r)
+"""
+
+
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents")).drop("spans")
 
@@ -186,6 +210,7 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_warc": op2_warc,
+    "op3_lines": op3_lines,
     "op4_licenses": op4_licenses,
     "op5_chat": op5_chat,
     "op7_mixing": op7_mixing,
@@ -194,6 +219,7 @@ QUERIES = {
 
 ORACLES = {
     "op2_warc": OP2_SQL,
+    "op3_lines": OP3_SQL,
     "op4_licenses": OP4_SQL,
     "op5_chat": OP5_SQL,
     "op7_mixing": OP7_SQL,
