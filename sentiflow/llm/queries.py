@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, licenses, lines, mixing, pieces, quality, warc
+from . import chat, imatch, licenses, lines, mixing, pieces, quality, warc
 from .common import read
 
 
@@ -153,6 +153,53 @@ FROM marked GROUP BY conv_id
 """
 
 
+def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(read(spark, sf_dir, "documents"))
+
+
+OP6_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER o AS k, count(*) OVER () AS n, doc_id, coalesce(text, '') AS text,
+         lead(coalesce(text, '')) OVER o AS following, first_value(coalesce(text, '')) OVER o AS front
+  FROM documents WINDOW o AS (ORDER BY doc_id DESC NULLS LAST, coalesce(text, ''))),
+side AS (
+  SELECT k, n, doc_id, length(text) AS n_chars, text,
+         text[1:length(text) - length(text) // 2] ||
+           left(coalesce(following, front), length(text) // 2) AS edited
+  FROM doc),
+word AS (
+  SELECT k, side, unnest(list_distinct(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'))) AS term
+  FROM (SELECT k, 0 AS side, text FROM side UNION ALL SELECT k, 1, edited FROM side)),
+lexicon AS (
+  SELECT term, ('0x' || substr(md5(term), 1, 15))::BIGINT AS code FROM word WHERE side = 0 GROUP BY term
+  HAVING count(*) * 100 >= (SELECT count(*) FROM doc) AND count(*) * 10 <= (SELECT count(*) FROM doc) AND count(*) >= 2),
+part AS (
+  SELECT k, side, code % 32 AS j, substr(md5(string_agg(code::VARCHAR, ',' ORDER BY code)), 1, 8) AS hash
+  FROM word JOIN lexicon USING (term) GROUP BY ALL),
+printed AS (
+  SELECT k, side, string_agg(coalesce(hash, '00000000'), '' ORDER BY j) AS f, list(hash ORDER BY j) AS parts
+  FROM (SELECT DISTINCT k, side FROM part) CROSS JOIN (SELECT unnest(range(32)) AS j) LEFT JOIN part USING (k, side, j)
+  GROUP BY k, side),
+print AS (
+  SELECT s.k, s.n, doc_id, n_chars, sha256(edited) AS edited_sha256,
+         coalesce(a.f, 'text:' || md5(text)) AS fingerprint, a.parts AS parts,
+         coalesce(b.f, 'text:' || md5(edited)) AS edited_fingerprint, b.parts AS edited_parts
+  FROM side s LEFT JOIN printed a ON a.k = s.k AND a.side = 0 LEFT JOIN printed b ON b.k = s.k AND b.side = 1)
+SELECT p.doc_id, p.n_chars, p.edited_sha256, p.fingerprint, p.edited_fingerprint,
+       CASE WHEN p.fingerprint = p.edited_fingerprint THEN 1.0 WHEN p.parts IS NULL OR p.edited_parts IS NULL THEN 0.0
+            ELSE len(list_filter(range(1, 33), lambda j: p.parts[j] = p.edited_parts[j]))::DOUBLE
+               / len(list_filter(range(1, 33), lambda j: p.parts[j] IS NOT NULL OR p.edited_parts[j] IS NOT NULL)) END::DOUBLE
+         AS near_edited,
+       CASE WHEN p.fingerprint = q.fingerprint THEN 1.0 WHEN p.parts IS NULL OR q.parts IS NULL THEN 0.0
+            ELSE len(list_filter(range(1, 33), lambda j: p.parts[j] = q.parts[j]))::DOUBLE
+               / len(list_filter(range(1, 33), lambda j: p.parts[j] IS NOT NULL OR q.parts[j] IS NOT NULL)) END::DOUBLE
+         AS near_next
+FROM print p JOIN print q ON q.k = p.k % p.n + 1
+"""
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select(
@@ -213,6 +260,7 @@ QUERIES = {
     "op3_lines": op3_lines,
     "op4_licenses": op4_licenses,
     "op5_chat": op5_chat,
+    "op6_imatch": op6_imatch,
     "op7_mixing": op7_mixing,
     "op10_pieces": op10_pieces,
 }
@@ -222,5 +270,6 @@ ORACLES = {
     "op3_lines": OP3_SQL,
     "op4_licenses": OP4_SQL,
     "op5_chat": OP5_SQL,
+    "op6_imatch": OP6_SQL,
     "op7_mixing": OP7_SQL,
 }
