@@ -49,13 +49,12 @@ def lexicon(docs: DataFrame, rarest: int = RAREST, commonest: int = COMMONEST) -
 
 def fingerprint(codes: Column, plain: Column, subsets: int = SUBSETS) -> Column:
     """Hashes of a document's sorted distinct codes in each subset; of its text if it has none."""
-    ordered = F.array_sort(codes)
-    part = lambda j: F.filter(ordered, lambda c: c % subsets == j)
-    hashed = F.transform(
+    parts = F.transform(
         F.sequence(F.lit(0), F.lit(subsets - 1)),
-        lambda j: F.when(
-            F.exists(ordered, lambda c: c % subsets == j), F.substring(F.md5(F.array_join(part(j).cast("array<string>"), ",")), 1, DIGITS)
-        ).otherwise("0" * DIGITS),
+        lambda j: F.array_join(F.filter(codes, lambda c: c % subsets == j).cast("array<string>"), ","),
+    )
+    hashed = F.transform(
+        parts, lambda part: F.when(part == "", "0" * DIGITS).otherwise(F.substring(F.md5(part), 1, DIGITS))
     )
     return F.when(F.size(codes) == 0, F.concat(F.lit("text:"), plain)).otherwise(F.array_join(hashed, ""))
 
@@ -140,12 +139,13 @@ def fingerprints(
     sides = ordered.select(
         "range", "place", "guest", "doc_id", "n_chars", F.posexplode(F.array("text", edited)).alias("side", "text")
     )
-    said = sides.select(
-        *("range", "place", "guest", "side", "doc_id", "n_chars"),
+    # Digests are made before terms are exploded, once per text.
+    digested = sides.select(
+        *("range", "place", "guest", "side", "doc_id", "n_chars", "text"),
         F.when(F.col("side") == 0, F.md5("text")).otherwise(F.sha2("text", 256)).alias("digest"),
         F.when(F.col("side") == 1, F.md5("text")).alias("edited_plain"),
-        F.explode(terms(F.col("text"))).alias("term"),
     )
+    said = digested.withColumn("term", F.explode(terms(F.col("text")))).drop("text")
     once = F.col("term") == ""  # values of the document are taken from its row for the empty term
     value = lambda name, side=0: F.max(F.when(once & (F.col("side") == side), F.col(name)))
     codes = lambda side: F.collect_set(F.when(F.col("side") == side, F.col("code")))
@@ -159,6 +159,7 @@ def fingerprints(
         codes(0).alias("codes"),
         codes(1).alias("edited_codes"),
     )
+    gathered = gathered.withColumns({c: F.array_sort(c) for c in ("codes", "edited_codes")})
     made = gathered.select(
         *("range", "place", "guest", "doc_id", "n_chars", "edited_sha256"),
         fingerprint(F.col("codes"), F.col("plain"), subsets).alias("fingerprint"),
