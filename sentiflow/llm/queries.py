@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, imatch, licenses, lines, mixing, pieces, quality, warc
+from . import chat, imatch, licenses, lines, mixing, pieces, quality, setsketch, warc
 from .common import read
 
 
@@ -240,6 +240,10 @@ FROM ordered
 """
 
 
+def op8_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(read(spark, sf_dir, "documents"), k=2).drop("id")
+
+
 #: The model's file; another one is a parameter of the operator.
 PIECES_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -262,6 +266,7 @@ QUERIES = {
     "op5_chat": op5_chat,
     "op6_imatch": op6_imatch,
     "op7_mixing": op7_mixing,
+    "op8_setsketch": op8_setsketch,
     "op10_pieces": op10_pieces,
 }
 
