@@ -21,20 +21,25 @@ from ..sources.storage import stage
 EDGES = "a string, b string"
 
 
-def in_blocks(rows: DataFrame, weight: Column, limit: int) -> DataFrame:
+def in_blocks(rows: DataFrame, weight: Column, limit: int, with_block: bool = False) -> DataFrame:
     """``rows`` (with ``g``, the group, and ``id``) and ``i``, ``j``: the pair of blocks they meet in.
 
     A group whose weights sum to more than ``limit`` has several blocks, and its rows are repeated
     once for each other block; all others are in one piece. Groups of one row are dropped.
+
+    ``with_block`` keeps ``block``, each row's own, and lets blocks also meet themselves, for work
+    that has to see each pair once.
     """
     sums = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.sum(weight).alias("weight"))
     sizes = sums.filter("n > 1").select("g", F.ceil(F.col("weight") / limit).cast("int").alias("blocks"))
     cut = rows.join(sizes, "g")
     block = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).otherwise(0)
-    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k != F.col("block"))
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    others = every if with_block else F.filter(every, lambda k: k != F.col("block"))
     mates = F.when(F.col("blocks") > 1, others).otherwise(F.array(F.lit(0)))
     met = cut.withColumn("block", block).withColumn("mate", F.explode(mates))
-    return met.withColumn("i", F.least("block", "mate")).withColumn("j", F.greatest("block", "mate")).drop("blocks", "block", "mate")
+    met = met.withColumn("i", F.least("block", "mate")).withColumn("j", F.greatest("block", "mate"))
+    return met.drop("blocks", "mate", *([] if with_block else ["block"]))
 
 
 def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, imatch, licenses, lines, mixing, pieces, quality, setsketch, warc
+from . import chat, crosspolytope, imatch, licenses, lines, mixing, pieces, quality, setsketch, warc
 from .common import read
 
 
@@ -244,6 +244,10 @@ def op8_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(read(spark, sf_dir, "documents"), k=2).drop("id")
 
 
+def op9_crosspolytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspolytope.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 #: The model's file; another one is a parameter of the operator.
 PIECES_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -267,6 +271,7 @@ QUERIES = {
     "op6_imatch": op6_imatch,
     "op7_mixing": op7_mixing,
     "op8_setsketch": op8_setsketch,
+    "op9_crosspolytope": op9_crosspolytope,
     "op10_pieces": op10_pieces,
 }
 
