@@ -212,3 +212,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         (F.coalesce("least", "doc_id").eqNullSafe(F.col("doc_id"))).alias("kept"),
         "id",
     )
+
+
+def without_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with all columns, one document of each component: that with its smallest ``doc_id``.
+
+    A document stands for its rows: should the one that stays be there repeatedly, all its rows stay,
+    as do all documents without words.
+    """
+    found = near_duplicates(docs.select("doc_id", "text"), k, percent)
+    number = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(""))
+    key = F.struct(number("doc_id").alias("doc_id"), F.col("id"))
+    dropped = found.filter(~F.col("kept")).select(key.alias("key"), F.lit(True).alias("dropped")).distinct()
+    id_ = F.md5(F.array_join(words_of(text_or_empty()), " "))
+    rows = docs.select(F.struct("*").alias("row"), F.struct(number("doc_id").alias("doc_id"), id_.alias("id")).alias("key"))
+    return lookup(rows, stage(dropped, "near-duplicates"), "key", "left").filter("dropped is null").select("row.*")
