@@ -24,10 +24,8 @@ HEADLINE = [
     "class_distribution",
     "word_counts",
     "top_words",
-    "top_words_capped",
     "keywords_top",
     "document_keywords",
-    "keywords_udf",
     "tfidf_long",
     "vocab_tfidf_long",
     "hash_split",

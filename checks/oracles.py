@@ -12,8 +12,6 @@ from sentiflow.functions.fixed_values import (
     ENGLISH_STOPWORDS,
 )
 
-from .queries import EXPORT_ROWS, SAMPLE_PER_CLASS
-
 
 def _in(words: list[str]) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
@@ -54,6 +52,11 @@ cleaned AS (
     SELECT *, {_TRIMMED.format('"Reviews"')} AS clean_text
     FROM all_labels WHERE label IS NOT NULL AND "Reviews" IS NOT NULL
   ) WHERE length(clean_text) > 5
+),
+texts AS (
+  SELECT review_id, clean_text, NULL::DOUBLE AS label FROM (
+    SELECT review_id, {_TRIMMED.format('"Reviews"')} AS clean_text FROM reviews)
+  WHERE length(clean_text) > 5
 )"""
 
 _PREDICTIONS = """,
@@ -151,8 +154,11 @@ unit AS (
 _REQUESTS = f"""
 requests AS (
   SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS request_id,
-         CASE WHEN role = 'user' THEN text
-              WHEN turn % 2 = 1 THEN '!!! ' || CAST(turn AS VARCHAR) END AS text
+         text
+  FROM conversations
+  UNION ALL
+  SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) || '-nothing',
+         CASE turn % 3 WHEN 0 THEN '' WHEN 1 THEN '!!! ' || CAST(turn AS VARCHAR) END
   FROM conversations
 ),
 cleaned_requests AS (
@@ -167,6 +173,11 @@ def _over_reviews(select: str, ctes: str = "") -> str:
     return f"WITH {_BASE}{ctes}\n{select}"
 
 
+def _over_texts(select: str, ctes: str = "") -> str:
+    """The same over the texts of all documents, rated or not."""
+    return _over_reviews(select.replace("cleaned", "texts"), ctes.replace("FROM cleaned", "FROM texts"))
+
+
 def _keywords_top(stop: str) -> str:
     ctes = _TOKENS + _LEXICON.format(english=ENGLISH, stop=stop)
     ctes += ", counts AS (SELECT label, word, count(*) AS count FROM keyword_rows GROUP BY label, word)"
@@ -183,16 +194,6 @@ def _roundings(digits: int) -> str:
 
 _ALL_REVIEWS = _over_reviews(f"SELECT {_REVIEW_COLUMNS} FROM reviews")
 
-_CAPPED = f"""
-WITH {_BASE.replace("cleaned AS", "all_cleaned AS", 1)},
-cleaned AS (
-  SELECT * EXCLUDE (place) FROM (
-    SELECT *, row_number() OVER (PARTITION BY label ORDER BY {_SPLIT_HASH}, review_id) AS place
-    FROM all_cleaned
-  ) WHERE place <= {SAMPLE_PER_CLASS}
-){_WORD_COUNTS.format(extra=f"AND word NOT IN ({DOMAIN})")}
-{_RANKED.format(table="counts", n=15)}"""
-
 _SCORED_ROWS = f"""WITH {_REQUESTS}
 SELECT request_id, text, clean_text, CAST(1 AS INTEGER) AS valid FROM cleaned_requests WHERE clean_text <> ''"""
 
@@ -231,7 +232,7 @@ test AS (SELECT * FROM cleaned WHERE ('0x' || substr({_SPLIT_HASH}, 1, 8))::BIGI
     "clean_text_untrimmed": _over_reviews(
         f"""SELECT review_id, {_UNTRIMMED.format('"Reviews"')} AS clean_text FROM reviews"""
     ),
-    "min_length": _over_reviews(
+    "min_length": _over_texts(
         "SELECT review_id, CAST(length(clean_text) AS INTEGER) AS chars FROM cleaned WHERE length(clean_text) > 200"
     ),
     "label_from_rating": _over_reviews("SELECT review_id, label FROM all_labels"),
@@ -245,57 +246,47 @@ SELECT request_id, text, clean_text, CASE WHEN clean_text = '' THEN {_ERROR} END
 FROM cleaned_requests""",
     "stream_rejects": f"""WITH {_REQUESTS}
 SELECT request_id, text, clean_text, {_ERROR} AS error FROM cleaned_requests WHERE clean_text = ''""",
-    "tokens": _over_reviews(
+    "tokens": _over_texts(
         "SELECT review_id, CAST(position AS INTEGER) AS position, word FROM token_rows", _TOKENS
     ),
-    "tokens_filtered": _over_reviews(
+    "tokens_filtered": _over_texts(
         f"""SELECT review_id, word,
        CAST(row_number() OVER (PARTITION BY review_id ORDER BY position) - 1 AS INTEGER) AS position
 FROM token_rows WHERE word NOT IN ({ENGLISH})""",
         _TOKENS,
     ),
-    "hashing_tf": _over_reviews(
+    "hashing_tf": _over_texts(
         f"""SELECT review_id, CAST(count(*) FILTER (word NOT IN ({ENGLISH})) AS DOUBLE) AS tokens
 FROM token_rows GROUP BY review_id""",
         _TOKENS,
     ),
-    "tfidf_long": _over_reviews(
+    "tfidf_long": _over_texts(
         """SELECT review_id, word, tf.tf, round(tf.tf * ln((docs + 1.0) / (df + 1.0)), 6) AS weight
 FROM tf JOIN (SELECT word, count(*) AS df FROM tf GROUP BY word) USING (word), n""",
         _TF.format(min_chars=1),
     ),
-    "vocab_tfidf_long": _over_reviews(
+    "vocab_tfidf_long": _over_texts(
         "SELECT review_id, word, round(weight, 6) AS weight FROM unit", _VOCAB
     ),
-    "vocab_features": _over_reviews(
+    "vocab_features": _over_texts(
         """SELECT c.review_id, round(coalesce(sum(weight), 0), 6) AS weight, CAST(count(weight) AS INTEGER) AS words
 FROM cleaned c LEFT JOIN unit u ON c.review_id = u.review_id GROUP BY c.review_id""",
         _VOCAB,
     ),
     "keywords_top": _keywords_top(DOMAIN),
     "keywords_top_custom": _keywords_top(CUSTOM),
-    "document_keywords": _over_reviews(
+    "document_keywords": _over_texts(
         "SELECT review_id, CAST(position AS INTEGER) AS position, word FROM keyword_rows",
         _TOKENS + _LEXICON.format(english=ENGLISH, stop=DOMAIN),
     ),
-    "keywords_udf": _over_reviews(
-        "SELECT review_id, word, count(*) AS count FROM keyword_rows GROUP BY review_id, word",
-        _TOKENS + _LEXICON.format(english=ENGLISH, stop=DOMAIN),
-    ),
     "class_distribution": _over_reviews(
         """SELECT c.label, c.sentiment, count(r.review_id) AS count
-FROM classes c LEFT JOIN cleaned r ON r.label = c.label GROUP BY c.label, c.sentiment""",
-        _CLASSES,
-    ),
-    "publish_roundtrip": _over_reviews(
-        """SELECT c.label, c.sentiment, count(r.review_id) AS count
 FROM classes c LEFT JOIN cleaned r ON r.label = c.label GROUP BY c.label, c.sentiment""",
         _CLASSES,
     ),
     "word_counts": _over_reviews("SELECT label, word, count FROM counts", _WORD_COUNTS.format(extra="")),
     "top_words": _top_words(_RANKED.format(table="counts", n=15)),
     "top_words_chart": _top_words(_RANKED.format(table="counts", n=10)),
-    "top_words_capped": _CAPPED,
     "sample_predictions": _over_reviews(
         f"""SELECT review_id, clean_text, label, prediction,
        {_SENTIMENT.format('label')} AS actual_sentiment,
@@ -351,7 +342,7 @@ UNION ALL SELECT 'Recall', round("Recall", 4) FROM metrics""",
         + ", positive AS (SELECT label, 2.0::DOUBLE AS prediction FROM cleaned)"
         + _PER_CLASS.format(pred="positive"),
     ),
-    "hash_split": _over_reviews(
+    "hash_split": _over_texts(
         f"""SELECT review_id,
        CASE WHEN ('0x' || substr({_SPLIT_HASH}, 1, 8))::BIGINT % 10000 < 8000 THEN 'train' ELSE 'test' END AS split
 FROM cleaned"""
@@ -365,11 +356,79 @@ FROM (SELECT review_id, label, count(*) OVER (PARTITION BY label) AS n,
     "documents_roundtrip": _over_reviews(
         'SELECT review_id, "Rating", clean_text, label FROM cleaned'
     ),
-    "documents_capped": _over_reviews(
-        f"SELECT review_id, label FROM cleaned ORDER BY {_SPLIT_HASH}, review_id LIMIT {EXPORT_ROWS}"
-    ),
     "document_records": _over_reviews(
         """SELECT '{"review_id":' || CAST(review_id AS VARCHAR) || ',"Rating":'
        || coalesce('"' || "Rating" || '"', 'null') || '}' AS document FROM reviews"""
     ),
 }
+
+ORACLES |= {
+    "tfidf_long_shuffled": ORACLES["tfidf_long"],
+    "document_keywords_shuffled": ORACLES["document_keywords"],
+    "csv_rejects": """SELECT 'doc ' || doc_id AS "Product Name", 'brand' AS "Brand Name", NULL::DOUBLE AS "Price",
+       CASE WHEN doc_id % 3 = 2 THEN md5(text) END AS "Reviews", 'malformed record' AS error
+FROM documents WHERE doc_id % 3 <> 0""",
+    "csv_ingest_split": _over_reviews(
+        """SELECT key AS review_id,
+       CASE WHEN ('0x' || substr(md5('42:' || key), 1, 8))::BIGINT % 10000 < 8000 THEN 'train' ELSE 'test' END AS split
+FROM (SELECT md5('0:' || coalesce("Reviews", chr(0)) || chr(1) || coalesce("Rating", chr(0)) || chr(1) ||
+             coalesce("Product Name", chr(0)) || chr(1) || coalesce("Brand Name", chr(0)) || chr(1) ||
+             coalesce(CAST("Price" AS VARCHAR), chr(0))) AS key FROM reviews)"""
+    ),
+    "weighted_metrics_incomplete": _over_reviews(
+        f"""SELECT {_roundings(6)},
+       (SELECT count(*) FROM incomplete WHERE prediction IS NULL OR prediction = 7) AS unpredicted,
+       (SELECT count(*) FROM cleaned) - (SELECT count(*) FROM incomplete) AS unlabelled
+FROM metrics""",
+        _PREDICTIONS
+        + _CLASSES
+        + """,
+incomplete AS (
+  SELECT label, CASE review_id % 11 WHEN 0 THEN NULL WHEN 1 THEN 7.0::DOUBLE ELSE prediction END AS prediction
+  FROM predictions WHERE review_id % 11 NOT IN (2, 3))"""
+        + _PER_CLASS.format(pred="incomplete"),
+    ),
+    "stratified_split_any_label": _over_reviews(
+        f"""SELECT review_id, label, CASE WHEN place <= ceil(n * 0.2) THEN 'test' ELSE 'train' END AS split
+FROM (SELECT *, count(*) OVER (PARTITION BY label) AS n,
+             row_number() OVER (PARTITION BY label ORDER BY {_SPLIT_HASH}, review_id) AS place
+      FROM (SELECT review_id, CASE WHEN review_id % 10 < 7 THEN (review_id % 10)::DOUBLE END AS label FROM texts))"""
+    ),
+    "fit_vocab_terms": _over_reviews(
+        """SELECT row_number() OVER (ORDER BY total DESC, word) - 1 AS index, word, round(idf, 6) AS idf
+FROM (SELECT word, sum(tf) AS total, ln((1.0 + any_value(docs)) / (1.0 + count(*))) + 1 AS idf
+      FROM tf, n GROUP BY word ORDER BY total DESC, word LIMIT 8000)""",
+        f""",
+train AS (SELECT * FROM cleaned WHERE ('0x' || substr({_SPLIT_HASH}, 1, 8))::BIGINT % 10000 < 8000)"""
+        + _TF.format(min_chars=2).replace("FROM cleaned", "FROM train"),
+    ),
+    "fit_hashing_rows": _over_reviews(
+        f"""SELECT label, count(*) FILTER (train) AS trained, count(*) FILTER (NOT train) AS tested,
+       CAST(sum(count(*) FILTER (train)) OVER () AS BIGINT) AS documents
+FROM (SELECT label, ('0x' || substr({_SPLIT_HASH}, 1, 8))::BIGINT % 10000 < 8000 AS train FROM cleaned) GROUP BY label"""
+    ),
+    "full_analysis_vocabulary": _over_reviews(
+        """SELECT c.sentiment AS name, CAST(coalesce(ceil(n * 0.2), 0) AS BIGINT) AS support
+FROM classes c LEFT JOIN (SELECT label, count(*) AS n FROM cleaned GROUP BY label) USING (label)
+UNION ALL SELECT 'accuracy', CAST(sum(ceil(n * 0.2)) AS BIGINT)
+FROM (SELECT label, count(*) AS n FROM cleaned GROUP BY label)""",
+        _CLASSES,
+    ),
+    "publish_roundtrip": _over_reviews(
+        """SELECT 'class_distribution' AS "table", c.sentiment AS "row", 'count' AS "column", CAST(count(r.review_id) AS VARCHAR) AS value
+FROM classes c LEFT JOIN cleaned r ON r.label = c.label GROUP BY c.sentiment
+UNION ALL SELECT 'top_' || lower(c.sentiment) || '_words', word, 'count', CAST(count AS VARCHAR)
+FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY count DESC, word) AS rank FROM counts) w
+JOIN classes c ON c.label = w.label WHERE rank <= 15
+UNION ALL SELECT 'metrics', CAST(round("Accuracy", 4) AS VARCHAR), m.name, CAST(round(m.score, 4) AS VARCHAR)
+FROM metrics, (SELECT 'F1' AS name, "F1" AS score FROM metrics UNION ALL SELECT 'Precision', "Precision" FROM metrics
+               UNION ALL SELECT 'Recall', "Recall" FROM metrics) m
+UNION ALL SELECT 'sample_predictions', CAST(review_id AS VARCHAR), v.name,
+       CASE v.name WHEN 'label' THEN CAST(label AS VARCHAR) WHEN 'prediction' THEN CAST(prediction AS VARCHAR)
+            WHEN 'actual_sentiment' THEN (SELECT sentiment FROM classes x WHERE x.label = s.label)
+            ELSE (SELECT sentiment FROM classes x WHERE x.label = s.prediction) END
+FROM (SELECT * FROM predictions ORDER BY review_id LIMIT 50) s,
+     (VALUES ('label'), ('prediction'), ('actual_sentiment'), ('predicted_sentiment')) v(name)""",
+        _WORD_COUNTS.format(extra=f"AND word NOT IN ({DOMAIN})") + _METRICS.format(pred="predictions"),
+    ),
+}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sentiflow import operators as ops
 from sentiflow import sinks
+from sentiflow.functions.fixed_values import SENTIMENTS
 from sentiflow.functions import (
     clean_text,
     label_from_rating,
@@ -20,7 +21,15 @@ from sentiflow.functions import (
     tokens,
 )
 from sentiflow.plans import analyse, export_reviews
-from sentiflow.sources import class_dim, read_reviews, read_reviews_csv, scratch_path, stage
+from sentiflow.sources import (
+    class_dim,
+    corrupt_rows,
+    ingest_reviews_csv,
+    read_reviews,
+    read_reviews_csv,
+    scratch_path,
+    stage,
+)
 from sentiflow.streaming import start_scoring
 
 from . import tables
@@ -85,7 +94,7 @@ def clean_text_untrimmed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def min_length(spark: SparkSession, sf_dir: str) -> DataFrame:
-    long = ops.min_length(tables.cleaned(spark, sf_dir), 200)
+    long = ops.min_length(tables.texts(spark, sf_dir), 200)
     return long.select("review_id", F.length("clean_text").alias("chars"))
 
 
@@ -116,20 +125,25 @@ def request_split_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tokens_of_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.posexplode(tokens("clean_text")).alias("position", "word")
-    return tables.cleaned(spark, sf_dir).select("review_id", words)
+    return tables.texts(spark, sf_dir).select("review_id", words)
 
 
 def tokens_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.posexplode(remove_stopwords(tokens("clean_text"))).alias("position", "word")
-    return tables.cleaned(spark, sf_dir).select("review_id", words)
+    return tables.texts(spark, sf_dir).select("review_id", words)
 
 
 def tfidf_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(ops.tfidf(tables.cleaned(spark, sf_dir)), "weight")
+    return _rounded(ops.tfidf(tables.texts(spark, sf_dir)), "weight")
+
+
+def tfidf_long_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The way taken when the vocabulary is too large to broadcast."""
+    return _rounded(ops.tfidf(tables.texts(spark, sf_dir), broadcast_bytes=0), "weight")
 
 
 def vocab_tfidf_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(ops.vocab_tfidf(tables.cleaned(spark, sf_dir)), "weight")
+    return _rounded(ops.vocab_tfidf(tables.texts(spark, sf_dir)), "weight")
 
 
 def keywords_top(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,15 +157,12 @@ def keywords_top_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.keywords(tables.cleaned(spark, sf_dir), tables.lexicon(spark, sf_dir))
+    return ops.keywords(tables.texts(spark, sf_dir), tables.lexicon(spark, sf_dir))
 
 
-def keywords_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tagged = ops.keywords_with(
-        tables.cleaned(spark, sf_dir).select("review_id", "clean_text"), tables.lexicon_tagger
-    )
-    words = tagged.select("review_id", F.explode("keywords").alias("word"))
-    return words.groupBy("review_id", "word").agg(F.count(F.lit(1)).alias("count"))
+def document_keywords_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The way taken when the lexicon is too large to broadcast."""
+    return ops.keywords(tables.texts(spark, sf_dir), tables.lexicon(spark, sf_dir), broadcast_bytes=0)
 
 
 # Summaries
@@ -169,15 +180,6 @@ def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.top_words(tables.cleaned(spark, sf_dir), stop_sets=("custom", "canonical"))
 
 
-# Below the size of the largest class at every scale, so that the cap is at work.
-SAMPLE_PER_CLASS = 50
-
-
-def top_words_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reviews = stage(tables.cleaned(spark, sf_dir).select("review_id", "clean_text", "label"), "reviews")
-    return ops.top_words(reviews, stop_sets=("custom", "canonical"), sample_size=SAMPLE_PER_CLASS)
-
-
 def top_words_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.chart_words(top_words(spark, sf_dir))
 
@@ -207,6 +209,13 @@ def weighted_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(metrics, *metrics.columns)
 
 
+def weighted_metrics_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics over predictions some of which are missing, with the rows that could not be matched."""
+    counts = ops.outcome_counts(tables.incomplete_predictions(spark, sf_dir))
+    metrics = ops.weighted_metrics(counts)
+    return _rounded(metrics, *metrics.columns).crossJoin(ops.unmatched_rows(counts))
+
+
 def metrics_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.metrics_row(ops.weighted_metrics(tables.predictions(spark, sf_dir)))
 
@@ -231,7 +240,7 @@ def latest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.with_hash_split(tables.cleaned(spark, sf_dir)).select("review_id", "split")
+    return ops.with_hash_split(tables.texts(spark, sf_dir)).select("review_id", "split")
 
 
 def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,6 +248,38 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.with_stratified_split(labels)
 
 
+def stratified_split_any_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes are whatever labels occur: here every tenth class of documents, and none."""
+    label = F.when(F.col("review_id") % 10 < 7, (F.col("review_id") % 10).cast("double"))
+    labels = stage(tables.texts(spark, sf_dir).select("review_id", label.alias("label")), "labels")
+    return ops.with_stratified_split(labels)
+
+
+def csv_ingest_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews without a key, as CSV, ingested and split; the key is made from the content."""
+    path = scratch_path(spark, "keyless-csv")
+    tables.reviews(spark, sf_dir).drop("review_id").write.options(
+        header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
+    ingested = ingest_reviews_csv(spark, path, scratch_path(spark, "keyless"))
+    return ops.with_hash_split(ingested).select("review_id", "split")
+
+
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The malformed rows of a CSV with a row from every document: one in three is whole, one ends
+    early and one has a word for a price."""
+    short = F.col("doc_id") % 3 == 1
+    price = F.when(F.col("doc_id") % 3 == 2, "cheap").otherwise("1.5")
+    rest = F.concat(F.lit(",brand,"), price, F.lit(",5,"), F.md5("text"))
+    line = F.concat(F.lit("doc "), F.col("doc_id").cast("string"), F.when(short, ",brand").otherwise(rest))
+    path = scratch_path(spark, "malformed-csv")
+    # The writer's header is the column's name.
+    rows = tables.table(spark, sf_dir, "documents").select(line.alias("Product Name,Brand Name,Price,Rating,Reviews"))
+    rows.write.options(header=True, sep="\u0001", quote="", escape="").csv(path)
+    table = ingest_reviews_csv(spark, path, scratch_path(spark, "malformed"), multi_line=False)
+    return corrupt_rows(table).select("Product Name", "Brand Name", "Price", "Reviews", "error")
+
+
 # Features, training, scoring
 
 
@@ -249,7 +290,7 @@ def _training_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 
 def hashing_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens per document, summed from its hashed vector."""
-    cleaned = tables.cleaned(spark, sf_dir)
+    cleaned = tables.texts(spark, sf_dir)
     featurize = Pipeline(stages=ops.hashing_stages()[:3]).fit(cleaned)
     vector = vector_to_array("rawFeatures")
     return featurize.transform(cleaned).select(
@@ -258,14 +299,34 @@ def hashing_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vocab_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = stage(tables.cleaned(spark, sf_dir).select("review_id", "clean_text"), "texts")
-    features, *_ = ops.vocab_features(cleaned.withColumn("label", F.lit(0.0)))
+    cleaned = stage(tables.texts(spark, sf_dir).select("review_id", "clean_text"), "texts")
+    features, _ = ops.vocab_features(cleaned)
     vectors = features.transform(cleaned).select("review_id", vector_to_array("features").alias("v"))
     total = F.aggregate("v", F.lit(0.0), lambda total, x: total + x)
     used = F.size(F.filter("v", lambda x: x != 0))
     return vectors.select("review_id", F.round(total, 6).alias("weight"), used.alias("words"))
 
 
+def fit_vocab_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vocabulary of a fitted model with the idf it weighs words by."""
+    train, _ = _training_split(spark, sf_dir)
+    stages = ops.vocab_features(train)[0].stages
+    idf = stages[3].getScalingVec().toArray().tolist()
+    rows = [(i, word, weight) for i, (word, weight) in enumerate(zip(stages[2].vocabulary, idf))]
+    return _rounded(spark.createDataFrame(rows, "index bigint, word string, idf double"), "idf")
+
+
+def fit_hashing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per class that training and test see, and the documents the model's idf was counted on."""
+    train, test = _training_split(spark, sf_dir)
+    features = Pipeline(stages=ops.hashing_stages()).fit(train)
+    counted = train.groupBy("label").agg(F.count(F.lit(1)).alias("trained"))
+    tested = test.groupBy("label").agg(F.count(F.lit(1)).alias("tested"))
+    return counted.join(tested, "label", "left").select(
+        "label", "trained", F.coalesce("tested", F.lit(0)).alias("tested"), F.lit(features.stages[-1].numDocs).cast("bigint").alias("documents")
+    )
+
+
 def fit_hashing_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _training_split(spark, sf_dir)
     return ops.weighted_metrics(ops.predict(ops.fit_hashing(train), test))
@@ -274,7 +335,7 @@ def fit_hashing_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fit_vocab_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     reviews = stage(tables.cleaned(spark, sf_dir).select("review_id", "clean_text", "label"), "reviews")
     train, test = ops.train_and_test(stage(ops.with_stratified_split(reviews), "training", ("split",)))
-    return ops.weighted_metrics(ops.predict(ops.fit_vocab(train, max_iter=100), test))
+    return ops.weighted_metrics(ops.predict(ops.fit_vocab(train), test))
 
 
 def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,39 +350,49 @@ def score_saved_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.score(ops.load_model(path), tables.requests(spark, sf_dir))
 
 
-def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All requests as one streaming query has written them."""
     train, _ = _training_split(spark, sf_dir)
     requests = tables.request_stream(spark, sf_dir)
     out, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-checkpoint")
-    for query in start_scoring(ops.fit_hashing(train), requests, out, checkpoint):
-        query.awaitTermination()
-    return spark.read.parquet(f"{out}/scored")
+    start_scoring(ops.fit_hashing(train), requests, out, checkpoint).awaitTermination()
+    return spark.read.parquet(out)
+
+
+def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, sf_dir).filter("status = 'scored'").drop("status", "error")
 
 
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The requests a stream rejects, written by the stream and read back."""
-    _, rejected = ops.split_rejects(tables.request_stream(spark, sf_dir))
-    out, checkpoint = scratch_path(spark, "rejects"), scratch_path(spark, "rejects-checkpoint")
-    query = (
-        rejected.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(out)
-    )
-    query.awaitTermination()
-    return spark.read.parquet(out)
+    """The requests the scoring stream rejects."""
+    rejected = _streamed(spark, sf_dir).filter("status = 'rejected'")
+    return rejected.select("request_id", "text", "clean_text", "error")
 
 
 # Sinks and whole runs
 
 
 def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Published class distribution, read back."""
+    """All six published tables, read back in long form: table, row, column, value."""
     out = scratch_path(spark, "published")
-    results = {"class_distribution": class_distribution(spark, sf_dir)}
+    reviews, predictions = tables.cleaned(spark, sf_dir), tables.predictions(spark, sf_dir)
+    top = ops.top_words(reviews, stop_sets=("custom", "canonical"))
+    results = {
+        "class_distribution": ops.class_distribution(reviews).select("sentiment", "count"),
+        "metrics": ops.metrics_row(ops.weighted_metrics(predictions)),
+        "sample_predictions": ops.sample_predictions(predictions, 50).drop("clean_text"),
+    }
+    results |= {f"top_{n.lower()}_words": top.filter(F.col("label") == c).select("word", "count") for c, n in SENTIMENTS.items()}
     sinks.publish(results, out, "run", latest=True)
-    schema = "label double, sentiment string, count bigint"
-    return spark.read.schema(schema).csv(f"{out}/latest/class_distribution", header=True)
+    long = None
+    for name, table in results.items():
+        back = spark.read.schema(table.schema).csv(f"{out}/latest/{name}", header=True)
+        first, *rest = back.columns
+        values = back.withColumn("row", F.col(first).cast("string")).select(
+            F.lit(name).alias("table"), "row", F.inline(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in rest)))
+        )
+        long = values if long is None else long.unionByName(values)
+    return long
 
 
 def documents_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,16 +402,6 @@ def documents_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-# Below the number of cleaned reviews at every scale, so that the cap is at work.
-EXPORT_ROWS = 80
-
-
-def documents_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "documents")
-    export_reviews(tables.reviews(spark, sf_dir), options={"path": path}, max_rows=EXPORT_ROWS)
-    return spark.read.schema("review_id bigint, label double").json(path)
-
-
 def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows as JSON records; a NULL rating stays in the record."""
     rows = tables.reviews(spark, sf_dir).select("review_id", "Rating")
@@ -351,6 +412,12 @@ def full_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(analyse(tables.reviews(spark, sf_dir)).report, "precision", "recall", "f1")
 
 
+def full_analysis_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run with the other learner and the exact split: test rows per class."""
+    result = analyse(tables.reviews(spark, sf_dir), fit=ops.fit_vocab, stratified=True)
+    return result.report.filter(~F.col("name").contains("avg")).select("name", "support")
+
+
 # What SQL can tell about trained models: every row is scored once, and scores are in range.
 
 
@@ -397,26 +464,32 @@ QUERIES = {
     "tokens": tokens_of_text,
     "tokens_filtered": tokens_filtered,
     "tfidf_long": tfidf_long,
+    "tfidf_long_shuffled": tfidf_long_shuffled,
     "vocab_tfidf_long": vocab_tfidf_long,
     "keywords_top": keywords_top,
     "keywords_top_custom": keywords_top_custom,
     "document_keywords": document_keywords,
-    "keywords_udf": keywords_udf,
+    "document_keywords_shuffled": document_keywords_shuffled,
     "class_distribution": class_distribution,
     "word_counts": word_counts,
     "top_words": top_words,
-    "top_words_capped": top_words_capped,
     "top_words_chart": top_words_chart,
     "sample_predictions": sample_predictions,
     "confusion_matrix": confusion_matrix,
     "confusion_matrix_wide": confusion_matrix_wide,
     "classification_report": classification_report,
     "weighted_metrics": weighted_metrics,
+    "weighted_metrics_incomplete": weighted_metrics_incomplete,
     "metrics_row": metrics_row,
     "metrics_long": metrics_long,
     "latest_metrics": latest_metrics,
     "hash_split": hash_split,
     "stratified_split": stratified_split,
+    "stratified_split_any_label": stratified_split_any_label,
+    "csv_ingest_split": csv_ingest_split,
+    "csv_rejects": csv_rejects,
+    "fit_vocab_terms": fit_vocab_terms,
+    "fit_hashing_rows": fit_hashing_rows,
     "hashing_tf": hashing_tf,
     "vocab_features": vocab_features,
     "fit_hashing_metrics": fit_hashing_metrics,
@@ -427,10 +500,10 @@ QUERIES = {
     "stream_rejects": stream_rejects,
     "publish_roundtrip": publish_roundtrip,
     "documents_roundtrip": documents_roundtrip,
-    "documents_capped": documents_capped,
     "document_records": document_records,
     "full_analysis": full_analysis,
     "scored_request_rows": scored_request_rows,
     "scored_stream_rows": scored_stream_rows,
     "full_analysis_support": full_analysis_support,
+    "full_analysis_vocabulary": full_analysis_vocabulary,
 }

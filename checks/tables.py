@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentiflow.functions import leading_bits, tokens
-from sentiflow.operators import clean_reviews
-from sentiflow.sources import spread, stage
+from sentiflow.operators import clean_reviews, min_length, with_clean_text
+from sentiflow.sources import stage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,8 +26,8 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(5)
     )
     return (
-        spread(table(spark, sf_dir, "documents"))
-        .join(table(spark, sf_dir, "labels"), "doc_id", "left")
+        table(spark, sf_dir, "documents")
+        .join(table(spark, sf_dir, "labels").hint("shuffle_hash"), "doc_id", "left")
         .select(
             F.col("doc_id").alias("review_id"),
             F.col("text").alias("Reviews"),
@@ -46,9 +43,15 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_reviews(reviews(spark, sf_dir))
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned texts of all documents, rated or not; only the length rule applies."""
+    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("review_id"), "text")
+    return min_length(with_clean_text(documents, "text")).select("review_id", "clean_text")
+
+
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation turn as a request. User turns keep their text, the others clean to nothing
-    (NULL on even turns, digits and marks on odd ones)."""
+    """Every conversation turn as a request, and another that cleans to nothing, made from each turn:
+    empty, digits and marks, or NULL."""
     return turns_to_requests(table(spark, sf_dir, "conversations"))
 
 
@@ -59,13 +62,15 @@ def request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def turns_to_requests(turns: DataFrame) -> DataFrame:
-    text = F.when(F.col("role") == "user", F.col("text")).when(
-        F.col("turn") % 2 == 1, F.concat(F.lit("!!! "), F.col("turn").cast("string"))
+    name = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    nothing = F.when(F.col("turn") % 3 == 0, "").when(
+        F.col("turn") % 3 == 1, F.concat(F.lit("!!! "), F.col("turn").cast("string"))
     )
-    return turns.select(
-        F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("request_id"),
-        text.alias("text"),
+    both = F.array(
+        F.struct(name.alias("request_id"), F.col("text").alias("text")),
+        F.struct(F.concat(name, F.lit("-nothing")).alias("request_id"), nothing.alias("text")),
     )
+    return turns.select(F.inline(both))
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,9 +80,20 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned(spark, sf_dir).select("review_id", "clean_text", "label", prediction.alias("prediction"))
 
 
+def incomplete_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with some predictions and labels missing or of no class."""
+    place = F.col("review_id") % 11
+    return predictions(spark, sf_dir).withColumns(
+        {
+            "prediction": F.when(place == 0, None).when(place == 1, 7.0).otherwise(F.col("prediction")),
+            "label": F.when(place == 2, None).when(place == 3, 9.0).otherwise(F.col("label")),
+        }
+    )
+
+
 def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A lexicon over all words of the corpus, stored as a table; it makes no linguistic claim."""
-    forms = cleaned(spark, sf_dir).select(F.explode(tokens("clean_text")).alias("form")).distinct()
+    forms = texts(spark, sf_dir).select(F.explode(tokens("clean_text")).alias("form")).distinct()
     third = leading_bits(F.md5("form"), 8) % 3
     entries = forms.select(
         "form",
@@ -85,14 +101,3 @@ def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(third == 0, "ADJ").when(third == 1, "NOUN").otherwise("OTHER").alias("pos"),
     )
     return stage(entries, "lexicon")
-
-
-def lexicon_tagger():
-    """The same lexicon as a tagger."""
-
-    def tag(text: str) -> Iterator[tuple[str, str, str]]:
-        for form in text.split(" "):
-            third = int(hashlib.md5(form.encode()).hexdigest()[:8], 16) % 3
-            yield form, form[:-1] if form.endswith("s") else form, ("ADJ", "NOUN", "OTHER")[third]
-
-    return tag

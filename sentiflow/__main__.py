@@ -7,39 +7,51 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators.models import load_model, save_model, score
-from .operators.prepare import split_rejects
+from .operators.models import fit_hashing, fit_vocab, load_model, save_model, score_or_reject
 from .plans import analyse, export_reviews
 from .sinks import write_metrics
 from .sources import ingest_reviews_csv, read_reviews, scratch_path
 
 
-def _reviews(spark: SparkSession, path: str, fmt: str) -> DataFrame:
-    if fmt == "csv":
-        return ingest_reviews_csv(spark, path, scratch_path(spark, "ingested"))
-    return read_reviews(spark, path, fmt)
+LEARNERS = {"hashing": fit_hashing, "vocabulary": fit_vocab}
+
+
+def _reviews(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    if args.format == "csv":
+        table = args.table or scratch_path(spark, "ingested")
+        return ingest_reviews_csv(spark, args.reviews, table, multi_line=not args.single_line)
+    return read_reviews(spark, args.reviews, args.format)
+
+
+def _review_arguments(command: argparse.ArgumentParser) -> None:
+    command.add_argument("--format", default="csv")
+    command.add_argument("--single-line", action="store_true", help="no line breaks in quotes: large CSV files are split")
+    command.add_argument("--table", help="where to keep the table that CSV is converted to")
 
 
 def _analyse(spark: SparkSession, args: argparse.Namespace) -> None:
     lexicon = spark.read.parquet(args.lexicon) if args.lexicon else None
-    result = analyse(_reviews(spark, args.reviews, args.format), lexicon=lexicon)
+    result = analyse(
+        _reviews(spark, args), lexicon=lexicon, fit=LEARNERS[args.learner], stratified=args.split == "stratified"
+    )
     run_id = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
     result.publish(args.out, run_id)
     write_metrics(result.metrics, f"{args.out}/metrics_log", run_id)
     save_model(result.model, args.model or f"{args.out}/model")
     for table in (result.metrics, result.report, result.confusion_matrix):
         table.show(truncate=False)
+    result.close()
 
 
 def _score(spark: SparkSession, args: argparse.Namespace) -> None:
     requests = spark.read.format(args.format).load(args.requests)
-    score(load_model(args.model), requests).write.mode("overwrite").parquet(f"{args.out}/scored")
-    split_rejects(requests)[1].write.mode("overwrite").parquet(f"{args.out}/rejected")
+    scored = score_or_reject(load_model(args.model), requests)
+    scored.write.mode("overwrite").partitionBy("status").parquet(args.out)
 
 
 def _export(spark: SparkSession, args: argparse.Namespace) -> None:
     options = dict(option.split("=", 1) for option in args.option)
-    export_reviews(_reviews(spark, args.reviews, args.format), args.sink, options, args.max_rows)
+    export_reviews(_reviews(spark, args), args.sink, options)
 
 
 def main() -> None:
@@ -49,7 +61,9 @@ def main() -> None:
     command = commands.add_parser("analyse", help="train on reviews and publish the reports")
     command.add_argument("reviews")
     command.add_argument("out")
-    command.add_argument("--format", default="csv")
+    _review_arguments(command)
+    command.add_argument("--learner", choices=LEARNERS, default="hashing")
+    command.add_argument("--split", choices=("hash", "stratified"), default="hash")
     command.add_argument("--lexicon", help="parquet table (form, lemma, pos)")
     command.add_argument("--model", help="where to save the model")
     command.set_defaults(run=_analyse)
@@ -63,10 +77,9 @@ def main() -> None:
 
     command = commands.add_parser("export", help="write cleaned reviews to a document sink")
     command.add_argument("reviews")
-    command.add_argument("--format", default="csv")
+    _review_arguments(command)
     command.add_argument("--sink", default="json")
     command.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
-    command.add_argument("--max-rows", type=int)
     command.set_defaults(run=_export)
 
     args = parser.parse_args()

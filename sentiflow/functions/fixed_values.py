@@ -61,6 +61,9 @@ MIN_CLEAN_LENGTH = 5
 MIN_KEYWORD_LENGTH = 2
 KEYWORD_POS = ("ADJ", "NOUN")
 
+# The reason given with a request that has no words.
+EMPTY_TEXT = "Input text is empty after cleaning."
+
 # ----------------------------------------------------------------------------
 
 UNKNOWN_SENTIMENT = "Unknown"

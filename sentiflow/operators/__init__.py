@@ -4,9 +4,11 @@ from .evaluate import (
     confusion_matrix,
     metrics_long,
     metrics_row,
+    outcome_counts,
+    unmatched_rows,
     weighted_metrics,
 )
-from .keywords import keyword_counts, keywords, keywords_top, keywords_top_with, keywords_with
+from .keywords import keyword_counts, keywords, keywords_top
 from .lookup import lookup
 from .models import (
     fit_hashing,
@@ -16,7 +18,9 @@ from .models import (
     predict,
     save_model,
     score,
+    score_or_reject,
     vocab_features,
+    vocab_tfidf,
 )
 from .prepare import (
     clean_reviews,
@@ -32,14 +36,12 @@ from .prepare import (
 )
 from .split import (
     hash_split,
-    sample_per_class,
-    sample_rows,
     stratified_split,
     train_and_test,
     with_hash_split,
     with_stratified_split,
 )
 from .summary import chart_words, rank_words, sample_predictions, token_rows, top_words, word_counts
-from .terms import TermStatistics, document_terms, term_rows, tfidf, vocab_tfidf
+from .terms import TermStatistics, document_terms, term_rows, tfidf
 
 __all__ = [name for name in dir() if not name.startswith("_")]

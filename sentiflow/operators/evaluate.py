@@ -1,8 +1,14 @@
-"""Evaluation of predictions, from nine counters filled in one scan.
+"""Evaluation of predictions, from counters filled in one scan.
 
-There are three classes, so the whole confusion matrix is one row of nine conditional counts: one
-partial aggregation per task and one row per task shuffled. Everything else is arithmetic on that
-row. Cells without rows are zero without any join.
+There are three classes, so the whole confusion matrix is one row of conditional counts: one partial
+aggregation per task and one row per task shuffled. Everything else is arithmetic on that row. Cells
+without rows are zero without any join.
+
+Every function takes predictions, or their ``outcome_counts`` where these are kept.
+
+A labelled row without a known prediction is a row its class does not get right: it counts as support
+and in every denominator of recall and accuracy. ``unmatched_rows`` says how many there are, and how
+many rows have no known label and so cannot be evaluated.
 """
 
 from __future__ import annotations
@@ -23,16 +29,35 @@ def _cell(actual: float, predicted: float) -> str:
     return f"actual_{int(actual)}_predicted_{int(predicted)}"
 
 
-def _counts(pred: DataFrame, label: str, prediction: str) -> DataFrame:
+def _missed(actual: float) -> str:
+    return f"actual_{int(actual)}_unpredicted"
+
+
+def outcome_counts(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """One row: rows by true and predicted class, without a known prediction, and without a label."""
+    predicted = F.coalesce(F.col(prediction).isin(*_CLASSES), F.lit(False))
+    labelled = F.coalesce(F.col(label).isin(*_CLASSES), F.lit(False))
     return pred.agg(
         *(
             F.count_if((F.col(label) == a) & (F.col(prediction) == p)).alias(_cell(a, p))
             for a in _CLASSES
             for p in _CLASSES
-        )
+        ),
+        *(F.count_if((F.col(label) == a) & ~predicted).alias(_missed(a)) for a in _CLASSES),
+        F.count_if(~labelled).alias("unlabelled"),
     )
 
 
+def _counts(pred: DataFrame, label: str, prediction: str) -> DataFrame:
+    return pred if "unlabelled" in pred.columns else outcome_counts(pred, label, prediction)
+
+
+def unmatched_rows(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """One row: ``unpredicted``, labelled rows without a known prediction, and ``unlabelled`` rows."""
+    missed = _total([F.col(_missed(a)) for a in _CLASSES])
+    return _counts(pred, label, prediction).select(missed.alias("unpredicted"), "unlabelled")
+
+
 def _total(cells: list[Column]) -> Column:
     return reduce(add, cells)
 
@@ -48,7 +73,7 @@ class _ClassScores:
         self.name = SENTIMENTS[class_id]
         hits = F.col(_cell(class_id, class_id))
         self.hits = hits
-        self.support = _total([F.col(_cell(class_id, p)) for p in _CLASSES])
+        self.support = _total([F.col(_cell(class_id, p)) for p in _CLASSES] + [F.col(_missed(class_id))])
         self.precision = _ratio(hits, _total([F.col(_cell(a, class_id)) for a in _CLASSES]))
         self.recall = _ratio(hits, self.support)
         self.f1 = _ratio(2 * self.precision * self.recall, self.precision + self.recall)
@@ -68,7 +93,8 @@ def _weighted(classes: list[_ClassScores], measure: str, rows: Column) -> Column
 def confusion_matrix(
     pred: DataFrame, wide: bool = False, label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:
-    """All nine cells, long ``(label, prediction, count)`` or one row per true class."""
+    """All nine cells, long ``(label, prediction, count)`` or one row per true class. Rows without a
+    known label or prediction are in no cell; ``unmatched_rows`` counts them."""
     counts = _counts(pred, label, prediction)
     if wide:
         rows = [

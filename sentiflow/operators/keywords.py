@@ -1,26 +1,19 @@
 """Keywords: adjectives and nouns by lemma, without stop words.
 
-Word class and lemma come from a lexicon table ``(form, lemma, pos)`` with one row per form, or from
-a tagger of the caller's.
+Word class and lemma come from a lexicon table ``(form, lemma, pos)`` with one row per form.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import ENGLISH_STOPWORDS, KEYWORD_POS, MIN_KEYWORD_LENGTH, TOP_WORDS
-from ..functions.text import tokens, with_computed
+from ..functions.text import tokens
 from .lookup import BROADCAST_BYTES, HOT_KEYS, lookup
 from .summary import domain_words, rank_words, token_rows
 
 STOP_SETS = ("custom", "canonical")
-TAGGED = "array<struct<form:string,lemma:string,pos:string>>"
-
-Tagger = Callable[[str], Iterable[tuple[str, str, str]]]
 
 
 def _select_keywords(tagged: DataFrame, stop_sets: tuple[str, ...], keep_unknown: bool) -> DataFrame:
@@ -87,56 +80,3 @@ def keywords(
         hot_keys=hot_keys,
     )
     return _select_keywords(tagged, stop_sets, keep_unknown).select(key, "position", "word")
-
-
-def keywords_with(
-    df: DataFrame,
-    factory: Callable[[], Tagger],
-    stop_sets: tuple[str, ...] = STOP_SETS,
-    text: str = "clean_text",
-) -> DataFrame:
-    """``df`` plus ``keywords``, an array per row, tagged by the caller's tagger.
-
-    ``factory`` runs once per task and returns ``text -> (form, lemma, pos) ...``. Only tagging
-    happens in Python, in Arrow batches; the selection is the same built-in one as for a lexicon.
-    NULL and empty texts give an empty array.
-    """
-
-    @F.arrow_udf(TAGGED)
-    def tag(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tagger = factory()
-        for texts in batches:
-            ends, parts = [0], []
-            for text in texts.to_pylist():
-                parts.extend(tagger(text) if text else ())
-                ends.append(len(parts))
-            columns = zip(*parts) if parts else ((), (), ())
-            fields = [pa.array(column, pa.string()) for column in columns]
-            yield pa.ListArray.from_arrays(
-                pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, ["form", "lemma", "pos"])
-            )
-
-    stop = domain_words(stop_sets)
-    wanted = F.filter(
-        "_tags",
-        lambda t: t["form"].rlike("^[A-Za-z]+$")
-        & (F.length(t["form"]) > MIN_KEYWORD_LENGTH)
-        & ~F.lower(t["form"]).isin(*ENGLISH_STOPWORDS)
-        & t["pos"].isin(*KEYWORD_POS)
-        & (~F.lower(t["lemma"]).isin(*stop) if stop else F.lit(True)),
-    )
-    lemmas = F.transform(wanted, lambda t: F.lower(t["lemma"]))
-    return with_computed(df.withColumn("_tags", tag(text)), "keywords", lemmas).drop("_tags")
-
-
-def keywords_top_with(
-    df: DataFrame,
-    factory: Callable[[], Tagger],
-    n: int = TOP_WORDS,
-    stop_sets: tuple[str, ...] = STOP_SETS,
-    text: str = "clean_text",
-) -> DataFrame:
-    words = keywords_with(df.select("label", text), factory, stop_sets, text).select(
-        "label", F.explode("keywords").alias("word")
-    )
-    return rank_words(words.groupBy("label", "word").agg(F.count(F.lit(1)).alias("count")), n)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import (
+    EMPTY_TEXT,
     ENGLISH_STOPWORDS,
     FEATURE_WIDTH,
     HASHING_ITERATIONS,
@@ -27,27 +28,22 @@ from ..functions.fixed_values import (
     VOCABULARY_ITERATIONS,
 )
 from ..functions.ratings import sentiment_name
-from .prepare import split_rejects
+from .lookup import lookup
+from .prepare import empty_after_cleaning, split_rejects, with_clean_text
 from .terms import TermStatistics, document_terms
 
 
-# A training partition should hold at least this much: each optimiser step pays for every task.
-TRAINING_PARTITION_BYTES = 16 * 1024 * 1024
-_BYTES_PER_ENTRY = 12  # index and value in a sparse vector
-
-
 def _fit_learner(
-    features: PipelineModel, train: DataFrame, learner: LogisticRegression, entries: int
+    features: PipelineModel, train: DataFrame, learner: LogisticRegression, partitions: int | None
 ) -> PipelineModel:
-    """Fit ``learner`` on transformed training rows with ``entries`` non-zero features in all.
+    """Fit ``learner`` on transformed training rows, in ``partitions`` parts if that is given.
 
-    Small training data, less than one full partition per core, is brought into a few full
-    partitions first. Larger data keeps the partitions of its scan and is not shuffled.
+    Each step of the optimiser pays for every task, so many small parts are slow; the result depends
+    on them only in the last digits of sums.
     """
     rows = features.transform(train).select("features", "label")
-    full = max(1, -(-entries * _BYTES_PER_ENTRY // TRAINING_PARTITION_BYTES))
-    if full < train.sparkSession.sparkContext.defaultParallelism:
-        rows = rows.repartition(full)
+    if partitions:
+        rows = rows.repartition(partitions)
     return PipelineModel([*features.stages, learner.fit(rows)])
 
 
@@ -67,6 +63,7 @@ def fit_hashing(
     max_iter: int = HASHING_ITERATIONS,
     reg_param: float = 0.0,
     aggregation_depth: int = 2,
+    partitions: int | None = None,
 ) -> PipelineModel:
     """Hashed TF-IDF and multinomial logistic regression. The model's size is fixed by the width."""
     learner = LogisticRegression(
@@ -79,19 +76,16 @@ def fit_hashing(
     )
     texts = train.select("clean_text", "label")
     features = Pipeline(stages=hashing_stages(num_features)).fit(texts)
-    # Document frequencies add up to the number of non-zero entries.
-    return _fit_learner(features, texts, learner, int(sum(features.stages[-1].docFreq)))
+    return _fit_learner(features, texts, learner, partitions)
 
 
-def vocab_features(
-    train: DataFrame, size: int = FEATURE_WIDTH
-) -> tuple[PipelineModel, int, int]:
-    """Fitted vocabulary TF-IDF stages, the number of training documents and of feature entries.
+def vocab_features(train: DataFrame, size: int = FEATURE_WIDTH) -> tuple[PipelineModel, int]:
+    """Fitted vocabulary TF-IDF stages and the number of training documents.
 
     The vocabulary is the ``size`` most frequent words with ties by word, so refits agree; only
     these rows come to the driver, as part of the model. Vectors are built inside each row.
     """
-    stats = TermStatistics.of(document_terms(train, "label", min_chars=2))
+    stats = TermStatistics.of(document_terms(train.select("clean_text", F.lit(0).alias("one")), "one", min_chars=2))
     vocabulary = stats.vocabulary(size).collect()
     if not vocabulary:
         raise ValueError("no words to train on")
@@ -109,7 +103,25 @@ def vocab_features(
         ),
         Normalizer(inputCol="weightedFeatures", outputCol="features", p=2.0),
     ]
-    return PipelineModel(stages), stats.documents, sum(row["documents"] for row in vocabulary)
+    return PipelineModel(stages), stats.documents
+
+
+def vocab_tfidf(
+    df: DataFrame, key: str = "review_id", text: str = "clean_text", size: int = FEATURE_WIDTH
+) -> DataFrame:
+    """``(key, word, weight)`` over the ``size`` most frequent words, unit length per document.
+
+    Weights and their norm are made inside each row by the stages that training uses, so documents
+    are not shuffled and may share keys. Words are looked up by their index in the vocabulary.
+    """
+    texts = df.select(key, F.col(text).alias("clean_text"))
+    stages, _ = vocab_features(texts, size)
+    vector = F.unwrap_udt("features")
+    entries = F.inline(F.arrays_zip(vector["indices"].alias("index"), vector["values"].alias("weight")))
+    sparse = stages.transform(texts).select(key, entries.alias("index", "weight"))
+    listed = enumerate(stages.stages[2].vocabulary)
+    words = df.sparkSession.createDataFrame(list(listed), "index int, word string")
+    return lookup(sparse, words, "index").select(key, "word", "weight")
 
 
 def fit_vocab(
@@ -119,13 +131,14 @@ def fit_vocab(
     c: float = 1.0,
     tol: float = 1e-8,
     aggregation_depth: int = 2,
+    partitions: int | None = None,
 ) -> PipelineModel:
     """Vocabulary TF-IDF and L2-regularised multinomial logistic regression.
 
     ``c`` weighs the summed loss against half the squared norm, which is ``regParam = 1 / (c * n)``
     for the mean loss used here. ``tol`` is tight enough to leave no gradient component above 1e-4.
     """
-    features, documents, entries = vocab_features(train, size)
+    features, documents = vocab_features(train, size)
     learner = LogisticRegression(
         featuresCol="features",
         labelCol="label",
@@ -137,7 +150,7 @@ def fit_vocab(
         family="multinomial",
         aggregationDepth=aggregation_depth,
     )
-    return _fit_learner(features, train.select("clean_text", "label"), learner, entries)
+    return _fit_learner(features, train.select("clean_text", "label"), learner, partitions)
 
 
 def predict(model: PipelineModel, reviews: DataFrame, digits: int | None = None) -> DataFrame:
@@ -158,15 +171,34 @@ def predict(model: PipelineModel, reviews: DataFrame, digits: int | None = None)
 def score(model: PipelineModel, requests: DataFrame, text: str = "text") -> DataFrame:
     """Score requests: their own columns, cleaned text, class name, class id, rounded probabilities.
 
-    Requests without any word are left out; ``split_rejects`` returns them. Batch or streaming.
+    Requests without any word are left out; ``score_or_reject`` keeps them. Batch or streaming.
     """
-    accepted, _ = split_rejects(requests, text)
-    scored = predict(model, accepted, digits=4)
+    return _named(predict(model, split_rejects(requests, text)[0], digits=4))
+
+
+def _named(scored: DataFrame) -> DataFrame:
     return scored.withColumn("label", F.col("prediction").cast("int")).withColumn(
         "prediction", sentiment_name("prediction")
     )
 
 
+def score_or_reject(model: PipelineModel, requests: DataFrame, text: str = "text") -> DataFrame:
+    """Every request once: scored with ``error`` null, or rejected with a reason and no score.
+
+    ``status`` is ``scored`` or ``rejected``. One pass over the requests; batch or streaming.
+    """
+    cleaned = with_clean_text(requests, text)
+    scored = _named(predict(model, cleaned, digits=4))
+    rejected = empty_after_cleaning()
+    new = [c for c in scored.columns if c not in cleaned.columns]
+    return scored.select(
+        *(F.col(f"`{c}`") for c in cleaned.columns),
+        *(F.when(~rejected, F.col(c)).alias(c) for c in new),
+        F.when(rejected, EMPTY_TEXT).alias("error"),
+        F.when(rejected, "rejected").otherwise("scored").alias("status"),
+    )
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fixed_values import MIN_CLEAN_LENGTH
+from ..functions.fixed_values import EMPTY_TEXT, MIN_CLEAN_LENGTH
 from ..functions.ratings import is_valid_rating, label_from_rating
 from ..functions.text import clean_text, with_computed
 from ..sources.reviews import REVIEW_COLUMNS
@@ -81,6 +81,6 @@ def split_rejects(requests: DataFrame, text: str = "text") -> tuple[DataFrame, D
     """
     cleaned = with_clean_text(requests, text)
     rejected = cleaned.filter(empty_after_cleaning()).withColumn(
-        "error", F.lit("Input text is empty after cleaning.")
+        "error", F.lit(EMPTY_TEXT)
     )
     return cleaned.filter(~empty_after_cleaning()), rejected

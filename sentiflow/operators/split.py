@@ -1,4 +1,4 @@
-"""Reproducible train/test splits and per-class row quotas."""
+"""Reproducible train/test splits."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.fixed_values import SEED, SENTIMENTS, TRAIN_SHARE
+from ..functions.fixed_values import SEED, TRAIN_SHARE
 from ..functions.hashing import key_hash, leading_bits
 
 _STEPS = 10_000
@@ -37,7 +37,11 @@ def with_stratified_split(
     train: float = TRAIN_SHARE,
     seed: int = SEED,
 ) -> DataFrame:
-    """Add ``split`` so that exactly ``ceil((1 - train) * n)`` rows of each class are test rows."""
+    """Add ``split`` so that exactly ``ceil((1 - train) * n)`` rows of each class are test rows.
+
+    Classes are the labels that occur, whatever they are; rows without a label are one class. Keys
+    that occur repeatedly go to one side together.
+    """
     share = round(1 - train, 10)
     picked = _lowest_by_hash(df, label, key, seed, lambda n: F.ceil(F.round(n * F.lit(share), 6)))
     return picked.withColumn("split", F.when(F.col("_picked"), "test").otherwise("train")).drop("_picked")
@@ -54,19 +58,6 @@ def stratified_split(
     return train_and_test(with_stratified_split(df, label, key, train, seed))
 
 
-def sample_per_class(
-    df: DataFrame, size: int, label: str = "label", key: str = "review_id", seed: int = SEED
-) -> DataFrame:
-    """At most ``size`` rows of each class, chosen by hash of the key."""
-    return _lowest_by_hash(df, label, key, seed, lambda n: F.least(n, F.lit(size))).filter("_picked").drop("_picked")
-
-
-def sample_rows(df: DataFrame, size: int, key: str = "review_id", seed: int = SEED) -> DataFrame:
-    """At most ``size`` rows, chosen by hash of the key."""
-    one = df.withColumn("_all", F.lit(0.0))
-    return sample_per_class(one, size, "_all", key, seed).drop("_all")
-
-
 def train_and_test(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The two parts of a table with a ``split`` column."""
     return (
@@ -80,14 +71,12 @@ def _lowest_by_hash(
 ) -> DataFrame:
     """Flag in ``_picked`` the ``quota(n)`` rows of each class with the lowest hash.
 
-    Keys are unique. Rows of no class are not picked.
-
     Ranking a whole class would put it in one task. Instead a histogram of the leading hash digits
     finds the bucket in which each class reaches its quota, and only the rows of that bucket, one
     65,536th of the class, are ranked. The two tables joined back have one row per class id, and
     ``df`` itself is never shuffled.
     """
-    keyed = df.filter(F.col(label).isin(*SENTIMENTS)).select(
+    keyed = df.select(
         F.col(label).alias("_class"), F.col(key).alias("_key"), key_hash(key, seed).alias("_hash")
     ).withColumn("_bucket", leading_bits(F.col("_hash"), _BUCKET_DIGITS))
 
@@ -102,18 +91,22 @@ def _lowest_by_hash(
     )
     edge = running.filter(
         (F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_n") < F.col("_quota"))
-    ).select("_class", "_bucket", (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_left"))
+    ).select(
+        F.col("_class").alias("_of"),
+        F.col("_bucket").alias("_in"),
+        (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_left"),
+    )
 
     rank = F.row_number().over(whole.orderBy("_hash", "_key"))
     last = (
-        keyed.join(F.broadcast(edge), ["_class", "_bucket"])
+        keyed.join(F.broadcast(edge), F.col("_class").eqNullSafe(F.col("_of")) & (F.col("_bucket") == F.col("_in")))
         .withColumn("_rank", rank)
         .filter(F.col("_rank") == F.col("_left"))
-        .select(F.col("_class").alias(label), F.struct("_hash", "_key").alias("_last"))
+        .select("_of", F.struct("_hash", "_key").alias("_last"))
     )
     here = F.struct(key_hash(key, seed).alias("_hash"), F.col(key).alias("_key"))
     return (
-        df.join(F.broadcast(last), label, "left")
+        df.join(F.broadcast(last), F.col(label).eqNullSafe(F.col("_of")), "left")
         .withColumn("_picked", F.coalesce(here <= F.col("_last"), F.lit(False)))
         .drop("_last")
         .select(*df.columns, "_picked")

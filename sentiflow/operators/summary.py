@@ -11,12 +11,10 @@ from ..functions.fixed_values import (
     DOMAIN_STOPWORDS,
     ENGLISH_STOPWORDS,
     MIN_KEYWORD_LENGTH,
-    SEED,
     TOP_WORDS,
 )
 from ..functions.ratings import sentiment_name
 from ..functions.text import tokens
-from .split import sample_per_class
 
 
 def domain_words(stop_sets: tuple[str, ...]) -> list[str]:
@@ -63,13 +61,8 @@ def top_words(
     n: int = TOP_WORDS,
     text: str = "clean_text",
     stop_sets: tuple[str, ...] = (),
-    sample_size: int | None = None,
-    key: str = "review_id",
-    seed: int = SEED,
 ) -> DataFrame:
-    """Top words of every class; ``sample_size`` optionally caps the reviews read per class."""
-    if sample_size is not None:
-        df = sample_per_class(df, sample_size, "label", key, seed)
+    """Top words of every class, counted over all its reviews."""
     return rank_words(word_counts(df, text, stop_sets), n)
 
 

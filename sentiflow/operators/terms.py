@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import ENGLISH_STOPWORDS, FEATURE_WIDTH
@@ -98,23 +97,3 @@ def tfidf(
     )
     idf = F.log(F.lit(1.0 + stats.documents) / (F.col("documents") + 1))
     return joined.select(key, "word", "tf", (F.col("tf") * idf).alias("weight"))
-
-
-def vocab_tfidf(
-    df: DataFrame,
-    key: str = "review_id",
-    text: str = "clean_text",
-    size: int = FEATURE_WIDTH,
-) -> DataFrame:
-    """``(key, word, weight)`` over the ``size`` most frequent words, unit length per document.
-
-    The vocabulary has at most ``size`` rows and is broadcast, so only its words are shuffled, by
-    document, for the norm.
-    """
-    terms = document_terms(df, key, text, min_chars=2)
-    vocabulary = TermStatistics.of(terms).vocabulary(size).select("word", "idf")
-    weighted = term_rows(terms).join(F.broadcast(vocabulary), "word").select(
-        key, "word", (F.col("tf") * F.col("idf")).alias("raw")
-    )
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(key)))
-    return weighted.select(key, "word", (F.col("raw") / norm).alias("weight"))

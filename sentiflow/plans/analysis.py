@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -14,22 +15,25 @@ from ..operators.evaluate import (
     classification_report,
     confusion_matrix,
     metrics_row,
+    outcome_counts,
     weighted_metrics,
 )
 from ..operators.keywords import keywords_top
 from ..operators.models import fit_hashing, predict
 from ..operators.prepare import clean_reviews
-from ..operators.split import train_and_test, with_hash_split
+from ..operators.split import train_and_test, with_hash_split, with_stratified_split
 from ..operators.summary import sample_predictions, top_words
 from ..sinks.publish import publish
-from ..sources.storage import stage
+from ..sources.storage import remove, scratch_path, stage
 
 
 @dataclass(frozen=True)
 class Analysis:
-    """Results of a run. All tables are lazy and read the two staged ones."""
+    """Results of a run. Reviews, predictions and what the reports are made of are staged: top words,
+    one row of outcome counts, the class counts and the samples. Reports read these few rows, and
+    publishing them does not read the corpus again."""
 
-    reviews: DataFrame  # cleaned, labelled and split, staged
+    reviews: DataFrame  # key, cleaned text, label and split, staged
     predictions: DataFrame  # scored test reviews, staged
     model: PipelineModel
     class_distribution: DataFrame
@@ -38,6 +42,11 @@ class Analysis:
     confusion_matrix: DataFrame
     top_words: DataFrame
     samples: DataFrame
+    folder: str  # of everything staged
+
+    def close(self) -> None:
+        """Remove what was staged. The model stays; all tables of the result go."""
+        remove(self.reviews.sparkSession, self.folder)
 
     def tables(self) -> dict[str, DataFrame]:
         """The six result tables, by the name they are published under."""
@@ -74,21 +83,29 @@ def analyse(
     train_share: float = TRAIN_SHARE,
     seed: int = SEED,
     mode: str = "trimmed",
-    fit=fit_hashing,
+    fit: Callable[[DataFrame], PipelineModel] = fit_hashing,
+    stratified: bool = False,
 ) -> Analysis:
     """Raw reviews to an ``Analysis``.
 
-    Cleaning runs once: the cleaned reviews are staged in shared storage by split, and each later
+    Cleaning runs once: key, text and label are staged in shared storage by split, and each later
     step reads only the columns and the part it needs. So are the predictions, without features.
-    Metrics, report and confusion matrix use every test row. With a ``lexicon`` the top words are
-    keywords, otherwise plain words without stop words.
+    ``stratified`` takes the exact split by class, which reads the cleaned reviews once more, instead
+    of the hash split. Metrics, report and confusion matrix use every test row. With a ``lexicon`` the
+    top words are keywords, otherwise plain words without stop words.
     """
-    cleaned = stage(
-        with_hash_split(clean_reviews(reviews, mode), key, train_share, seed), "reviews", ("split",)
-    )
+    folder = scratch_path(reviews.sparkSession, "analysis")
+    texts = clean_reviews(reviews, mode).select(key, "clean_text", "label")
+    if stratified:
+        texts = stage(texts, "texts", under=folder)
+        texts = with_stratified_split(texts, "label", key, train_share, seed)
+    else:
+        texts = with_hash_split(texts, key, train_share, seed)
+    cleaned = stage(texts, "reviews", ("split",), folder)
     train, test = train_and_test(cleaned)
     model = fit(train)
-    predictions = stage(predict(model, test.select(key, "clean_text", "label")), "predictions")
+    predictions = stage(predict(model, test.select(key, "clean_text", "label")), "predictions", under=folder)
+    counts = stage(outcome_counts(predictions), "outcomes", under=folder)
     if lexicon is None:
         words = top_words(cleaned, top_n, stop_sets=("custom", "canonical"))
     else:
@@ -97,10 +114,11 @@ def analyse(
         reviews=cleaned,
         predictions=predictions,
         model=model,
-        class_distribution=class_distribution(cleaned),
-        metrics=weighted_metrics(predictions),
-        report=classification_report(predictions),
-        confusion_matrix=confusion_matrix(predictions),
-        top_words=words,
-        samples=sample_predictions(predictions, sample_n, key),
+        class_distribution=stage(class_distribution(cleaned), "classes", under=folder),
+        metrics=weighted_metrics(counts),
+        report=classification_report(counts),
+        confusion_matrix=confusion_matrix(counts),
+        top_words=stage(words, "words", under=folder),
+        samples=stage(sample_predictions(predictions, sample_n, key), "samples", under=folder),
+        folder=folder,
     )

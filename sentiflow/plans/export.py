@@ -8,19 +8,12 @@ from pyspark.sql import DataFrame
 
 from ..operators.prepare import clean_reviews
 from ..sinks.documents import write_documents
-from ..sources.storage import stage
 
 
 def export_reviews(
     reviews: DataFrame,
     fmt: str = "json",
     options: Mapping[str, str] | None = None,
-    max_rows: int | None = None,
-    key: str = "review_id",
 ) -> None:
-    """Cleaned, labelled reviews to a document sink. A capped export stages them first, because
-    choosing the rows reads their keys more than once."""
-    cleaned = clean_reviews(reviews)
-    if max_rows is not None:
-        cleaned = stage(cleaned, "export")
-    write_documents(cleaned, fmt, options, max_rows, key)
+    """All cleaned, labelled reviews to a document sink, in one narrow stage."""
+    write_documents(clean_reviews(reviews), fmt, options)

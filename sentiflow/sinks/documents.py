@@ -7,8 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.split import sample_rows
-
 
 def to_documents(df: DataFrame) -> DataFrame:
     """One JSON record per row in column ``document``; NULL fields are kept."""
@@ -20,16 +18,10 @@ def write_documents(
     df: DataFrame,
     fmt: str = "json",
     options: Mapping[str, str] | None = None,
-    max_rows: int | None = None,
-    key: str = "review_id",
 ) -> None:
     """Replace a document collection with the rows of ``df``, written in parallel.
 
     ``fmt`` and ``options`` are those of the caller's connector (``json`` needs ``path``).
-    ``max_rows`` optionally caps the export; the rows are chosen by hash of ``key``, which needs no
-    sort of the data and gives the same rows every time.
     """
-    if max_rows is not None:
-        df = sample_rows(df, max_rows, key)
     options = {"ignoreNullFields": "false", **(options or {})} if fmt == "json" else dict(options or {})
     df.write.format(fmt).options(**options).mode("overwrite").save()

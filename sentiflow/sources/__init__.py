@@ -6,10 +6,9 @@ from .reviews import (
     ingest_reviews_csv,
     read_reviews,
     read_reviews_csv,
-    requests_df,
     with_content_key,
 )
-from .storage import scratch_path, shared_dir, spread, stage
+from .storage import remove, scratch_path, shared_dir, stage
 
 __all__ = [
     "CORRUPT",
@@ -19,10 +18,9 @@ __all__ = [
     "ingest_reviews_csv",
     "read_reviews",
     "read_reviews_csv",
-    "requests_df",
+    "remove",
     "scratch_path",
     "shared_dir",
-    "spread",
     "stage",
     "with_content_key",
 ]

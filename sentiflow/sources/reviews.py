@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +9,6 @@ from pyspark.sql import types as T
 from ..functions.fixed_values import SENTIMENTS
 from ..functions.hashing import key_hash
 from ..functions.ratings import sentiment_name
-from .storage import spread
 
 REVIEW_COLUMNS = ["Reviews", "Rating", "Product Name", "Brand Name", "Price"]
 CORRUPT = "_corrupt_record"
@@ -31,9 +28,9 @@ def read_reviews_csv(
 
     Columns are taken by name from the header. Quoted line breaks and doubled quotes are read as
     text. Malformed rows are kept, with the original line in ``_corrupt_record`` (see
-    ``corrupt_rows``). ``multi_line`` reads each file in one task; set it to False for files without
-    line breaks inside quotes so that large files are split, and in any case ingest large CSV once
-    with ``ingest_reviews_csv``.
+    ``corrupt_rows``). ``multi_line`` reads each file in one task, which suits files up to a few
+    hundred megabytes; set it to False for files without line breaks inside quotes, so that large ones
+    are split, and in any case ingest large CSV once with ``ingest_reviews_csv``.
     """
     reader = (
         spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line, **options)
@@ -50,7 +47,7 @@ def read_reviews_csv(
     )
     key = ["review_id"] if "review_id" in names else []
     columns = [f"`{c}`" for c in REVIEW_COLUMNS + key] + [f.name for f in corrupt]
-    return spread(scan.csv(path).select(*columns))
+    return scan.csv(path).select(*columns)
 
 
 def corrupt_rows(table: DataFrame) -> DataFrame:
@@ -59,40 +56,35 @@ def corrupt_rows(table: DataFrame) -> DataFrame:
 
 
 def ingest_reviews_csv(spark: SparkSession, path: str | list[str], table_path: str, **options) -> DataFrame:
-    """Convert review CSV to a parquet table once; every later scan is columnar and splittable."""
-    read_reviews_csv(spark, path, **options).write.mode("overwrite").parquet(table_path)
+    """Convert review CSV to a parquet table once; every later scan is columnar and splittable.
+
+    A table without ``review_id`` gets it here, from the content (see ``with_content_key``), and keeps
+    it: ingesting the same reviews again, elsewhere or in other files, gives the same keys.
+    """
+    reviews = read_reviews_csv(spark, path, **options)
+    keyed = reviews if "review_id" in reviews.columns else with_content_key(reviews)
+    keyed.write.mode("overwrite").parquet(table_path)
     return read_reviews(spark, table_path)
 
 
 def read_reviews(
     spark: SparkSession, path: str | list[str], fmt: str = "parquet", key: bool = True, **options: str
 ) -> DataFrame:
-    """Reviews from columnar files.
-
-    Without a ``review_id`` column one is added: a digest of file and row position for parquet, which
-    is unique and the same however the scan is partitioned, otherwise a digest of the content.
-    """
+    """Reviews from columnar files. Without a ``review_id`` column one is added from the content."""
     table = spark.read.format(fmt).options(**options).load(path)
-    if key and "review_id" not in table.columns:
-        if fmt == "parquet":
-            position = F.concat_ws(":", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-            table = table.select(F.md5(position).alias("review_id"), "*")
-        else:
-            table = with_content_key(table)
-    return spread(table)
+    return with_content_key(table) if key and "review_id" not in table.columns else table
 
 
 def with_content_key(reviews: DataFrame) -> DataFrame:
-    """Add ``review_id`` as a digest of the review's columns (equal reviews share it)."""
+    """Add ``review_id`` as a digest of the review's columns.
+
+    Equal reviews share a key, so a split puts all of them on one side and none leaks from training
+    into the test; quotas of an exact split are exceeded by equal reviews only.
+    """
     parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u0000")) for c in REVIEW_COLUMNS]
     return reviews.select(key_hash(F.concat_ws("\u0001", *parts), 0).alias("review_id"), "*")
 
 
-def requests_df(spark: SparkSession, rows: Iterable[tuple[str, str | None]]) -> DataFrame:
-    """A small table of scoring requests from ``(request_id, text)`` pairs."""
-    return spark.createDataFrame(list(rows), "request_id string, text string")
-
-
 def class_dim(spark: SparkSession) -> DataFrame:
     """The three classes: ``label``, ``sentiment``, ``position``."""
     return spark.range(0, len(SENTIMENTS), 1, 1).select(

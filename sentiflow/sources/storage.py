@@ -30,22 +30,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/sentiflow/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), under: str | None = None) -> DataFrame:
     """Write ``df`` once as parquet to shared storage and read it back.
 
-    Filters on ``partition_by`` columns later skip whole files.
+    Filters on ``partition_by`` columns later skip whole files. ``under`` is a ``scratch_path`` whose
+    tables are removed together.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = f"{under}/{name}" if under else scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Use all cores on a scan that has too few splits for them, such as one file of one row group.
-
-    Only a scan with at most half as many splits as there are cores is repartitioned, so what is
-    shuffled is small by construction. Any larger scan is returned as it is. ``scan`` must be a plain
-    file scan: counting its splits then runs nothing.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what was staged under a ``scratch_path``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -1,3 +1,3 @@
-from .scoring import score_stream, start_scoring
+from .scoring import start_scoring
 
-__all__ = ["score_stream", "start_scoring"]
+__all__ = ["start_scoring"]

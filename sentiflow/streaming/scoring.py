@@ -6,18 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.models import score
-from ..operators.prepare import split_rejects
-
-
-def score_stream(
-    model: PipelineModel, requests: DataFrame, text: str = "text"
-) -> tuple[DataFrame, DataFrame]:
-    """``(scored, rejected)`` streaming tables: stateless, one row out per request.
-
-    Empty and NULL texts are rejected before they reach the model, so none can fail the query.
-    """
-    return score(model, requests, text), split_rejects(requests, text)[1]
+from ..operators.models import score_or_reject
 
 
 def start_scoring(
@@ -27,20 +16,20 @@ def start_scoring(
     checkpoint_dir: str,
     text: str = "text",
     trigger: dict | None = None,
-) -> list[StreamingQuery]:
-    """Write both tables as parquet, ``scored`` and ``rejected`` under ``out_dir``.
+) -> StreamingQuery:
+    """Write every request as parquet, under ``status=scored`` or ``status=rejected`` of ``out_dir``.
 
-    Each has its own query and checkpoint, so restarts neither lose nor repeat rows. The default
-    trigger processes what is there and stops.
+    Stateless, one row out per request: the source is read and cleaned once, requests without words
+    are told apart by ``error`` and none can fail the query. One checkpoint, so restarts neither lose
+    nor repeat rows. The default trigger processes what is there and stops.
     """
-    queries = []
-    for name, table in zip(("scored", "rejected"), score_stream(model, requests, text)):
-        writer = (
-            table.writeStream.format("parquet")
-            .outputMode("append")
-            .option("path", f"{out_dir}/{name}")
-            .option("checkpointLocation", f"{checkpoint_dir}/{name}")
-            .trigger(**(trigger or {"availableNow": True}))
-        )
-        queries.append(writer.start())
-    return queries
+    return (
+        score_or_reject(model, requests, text)
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .partitionBy("status")
+        .option("path", out_dir)
+        .option("checkpointLocation", checkpoint_dir)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )

@@ -9,6 +9,8 @@ from sentiflow.operators import (
     confusion_matrix,
     metrics_long,
     metrics_row,
+    outcome_counts,
+    unmatched_rows,
     weighted_metrics,
 )
 
@@ -54,6 +56,17 @@ def test_report(pred):
     assert report["macro avg"].recall == pytest.approx(macro)
 
 
+def test_rows_without_a_match_are_counted(spark):
+    rows = [(0.0, 0.0), (0.0, None), (1.0, 5.0), (2.0, 2.0), (None, 1.0), (9.0, 2.0)]
+    pred = spark.createDataFrame(rows, "label double, prediction double")
+    counts = outcome_counts(pred)
+    metrics = weighted_metrics(pred).first()
+    assert metrics.Accuracy == 0.5 and tuple(weighted_metrics(counts).first()) == tuple(metrics)
+    assert tuple(unmatched_rows(counts).first()) == (2, 2)
+    report = {r.name: r.support for r in classification_report(counts).collect()}
+    assert report["Negative"] == 2 and report["Neutral"] == 1 and report["weighted avg"] == 4
+
+
 def test_no_rows(pred):
     empty = pred.filter("false")
     assert [r["count"] for r in confusion_matrix(empty).collect()] == [0] * 9

@@ -9,7 +9,6 @@ from sentiflow.operators import (
     document_terms,
     keyword_counts,
     keywords,
-    keywords_with,
     lookup,
     term_rows,
     tfidf,
@@ -93,6 +92,12 @@ def test_vocab_tfidf(small):
         assert sum(r.weight**2 for r in rows if r.review_id == key) == pytest.approx(1)
 
 
+def test_vocab_tfidf_of_documents_that_share_a_key(spark):
+    rows = spark.createDataFrame([(1, "great phone"), (1, "great phone"), (1, "")], "review_id int, clean_text string")
+    weights = [r.weight for r in vocab_tfidf(rows).collect()]
+    assert weights == pytest.approx([0.5**0.5] * 4)
+
+
 def test_word_counts_and_ranks(small):
     counts = {(r.label, r.word): r["count"] for r in word_counts(small).collect()}
     assert counts[0.0, "great"] == 2 and (2.0, "the") not in counts
@@ -120,13 +125,3 @@ def test_keywords(spark, small):
     for options in ({}, {"broadcast_bytes": 0, "hot_keys": 3}):
         rows = keywords(small, lexicon, **options).collect()
         assert sorted(tuple(r) for r in rows) == expected
-
-
-def test_keywords_with_a_tagger(spark):
-    def factory():
-        pos = {"great": "ADJ", "Batteries": "NOUN", "run": "VERB", "day": "NOUN"}
-        return lambda text: [(t, t.rstrip("s"), pos.get(t, "X")) for t in text.split()]
-
-    rows = spark.createDataFrame([(0, "great Batteries run day x1"), (1, ""), (2, None)], "id int, clean_text string")
-    got = {r.id: r.keywords for r in keywords_with(rows, factory).collect()}
-    assert got == {0: ["great", "batterie"], 1: [], 2: []}

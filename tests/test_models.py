@@ -1,5 +1,8 @@
+from collections import Counter
+
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -8,6 +11,7 @@ from sentiflow.operators import (
     fit_hashing,
     fit_vocab,
     hash_split,
+    hashing_stages,
     load_model,
     predict,
     save_model,
@@ -83,8 +87,8 @@ def test_a_class_not_seen_in_training(split):
 def test_scores(spark, model):
     requests = tables.requests(spark, SF)
     rows = score(model, requests).collect()
-    accepted = spark.read.parquet(f"{SF}/conversations.parquet").filter("role = 'user'").count()
-    assert len(rows) == accepted
+    turns = spark.read.parquet(f"{SF}/conversations.parquet").count()
+    assert len(rows) == turns and requests.count() == 2 * turns
     names = {0: "Negative", 1: "Neutral", 2: "Positive"}
     assert all(names[r.label] == r.prediction for r in rows)
     assert all(round(r[c], 4) == r[c] for r in rows for c in CHANCES)
@@ -96,21 +100,30 @@ def test_stream_equals_batch(spark, model, tmp_path):
     stream = spark.readStream.schema(requests.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
 
     def run():
-        for query in start_scoring(model, stream, str(tmp_path / "out"), str(tmp_path / "ckpt")):
-            query.awaitTermination()
+        start_scoring(model, stream, str(tmp_path / "out"), str(tmp_path / "ckpt")).awaitTermination()
 
     run()
     batch = score(model, requests)
-    scored = spark.read.parquet(str(tmp_path / "out/scored"))
+    scored = spark.read.parquet(str(tmp_path / "out/status=scored"))
     assert scored.count() == batch.count()
     assert scored.select(*batch.columns).exceptAll(batch).count() == 0
-    rejected = spark.read.parquet(str(tmp_path / "out/rejected"))
+    rejected = spark.read.parquet(str(tmp_path / "out/status=rejected"))
     assert rejected.count() + scored.count() == requests.count()
     # A restart finds nothing new and repeats nothing; a new file is scored once.
     run()
-    assert spark.read.parquet(str(tmp_path / "out/scored")).count() == batch.count()
+    assert spark.read.parquet(str(tmp_path / "out/status=scored")).count() == batch.count()
     spark.createDataFrame([("new", "very good phone")], requests.schema).write.mode("append").parquet(str(tmp_path / "in"))
     run()
-    after = spark.read.parquet(str(tmp_path / "out/scored"))
+    after = spark.read.parquet(str(tmp_path / "out/status=scored"))
     assert after.filter(F.col("request_id") == "new").count() == 1
     assert after.count() == batch.count() + 1
+
+
+def test_buckets_are_those_of_the_learner(cleaned):
+    from pyspark.ml.feature import HashingTF
+
+    hasher = HashingTF(inputCol="x", outputCol="y", numFeatures=8000)
+    stages = hashing_stages()[:3]
+    for row in Pipeline(stages=stages).fit(cleaned).transform(cleaned).limit(20).collect():
+        expected = Counter(hasher.indexOf(word) for word in row.filtered_words)
+        assert dict(zip(row.rawFeatures.indices.tolist(), row.rawFeatures.values.tolist())) == expected

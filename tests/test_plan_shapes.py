@@ -6,13 +6,14 @@ from checks import tables
 from sentiflow.operators import (
     clean_reviews,
     keywords_top,
-    keywords_top_with,
     split_rejects,
     tfidf,
+    vocab_tfidf,
     train_and_test,
     with_hash_split,
 )
-from sentiflow.sources import spread, stage
+from sentiflow.plans import analyse
+from sentiflow.sources import stage
 
 from .conftest import SF, optimized, plan_of
 
@@ -33,10 +34,6 @@ def test_cleaning_reads_only_its_columns_and_does_not_shuffle(spark):
     assert "ReadSchema: struct<text:string>" in plan
 
 
-def test_the_tagger_runs_once_per_row(cleaned):
-    assert optimized(keywords_top_with(cleaned, tables.lexicon_tagger)).count("ArrowEvalPython") == 1
-
-
 def test_training_reads_only_training_files(cleaned):
     staged = stage(with_hash_split(cleaned), "pruning", ("split",))
     train, test = train_and_test(staged)
@@ -51,8 +48,15 @@ def test_no_cross_joins(spark, cleaned):
         assert "Cartesian" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_only_small_scans_are_spread(spark):
-    one_file = spark.read.parquet(f"{SF}/documents.parquet")
-    assert spread(one_file).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, 5)
-    assert spread(many).rdd.getNumPartitions() == 5
+def test_vocabulary_weights_do_not_shuffle_documents(cleaned):
+    plan = plan_of(vocab_tfidf(cleaned, size=100))
+    assert plan.count("Exchange") == 1 and "BroadcastExchange" in plan
+
+
+def test_reports_do_not_read_the_corpus_again(spark):
+    result = analyse(tables.reviews(spark, SF), sample_n=5)
+    for name, table in result.tables().items():
+        files = table.inputFiles()
+        assert files and not any("/reviews/" in f or "documents.parquet" in f for f in files), name
+    assert set(result.reviews.columns) == {"review_id", "clean_text", "label", "split"}
+    result.close()

@@ -71,8 +71,6 @@ def test_documents(spark, tmp_path):
     write_documents(rows, options={"path": path})
     assert spark.read.schema(rows.schema).json(path).exceptAll(rows).count() == 0
     assert spark.read.json(path).count() == 2
-    write_documents(rows, "parquet", {"path": path}, max_rows=1)
-    assert spark.read.parquet(path).count() == 1
 
 
 def test_export(spark, tmp_path):
@@ -80,10 +78,6 @@ def test_export(spark, tmp_path):
     path = str(tmp_path / "docs")
     export_reviews(reviews, options={"path": path})
     assert spark.read.json(path).count() == clean_reviews(reviews).count()
-    export_reviews(reviews, options={"path": path}, max_rows=10)
-    first = {r.review_id for r in spark.read.json(path).collect()}
-    export_reviews(reviews.repartition(5), options={"path": path}, max_rows=10)
-    assert first == {r.review_id for r in spark.read.json(path).collect()} and len(first) == 10
 
 
 def test_metrics_log(spark, tmp_path):
@@ -105,13 +99,14 @@ def test_command_line(spark, tmp_path, monkeypatch):
         monkeypatch.setattr(sys, "argv", ["sentiflow", *map(str, args)])
         cli.main()
 
-    run("analyse", tmp_path / "csv", tmp_path / "out")
+    run("analyse", tmp_path / "csv", tmp_path / "out", "--split", "stratified", "--table", tmp_path / "table")
+    assert spark.read.parquet(str(tmp_path / "table")).count() == source.count()
     assert {p.name for p in (tmp_path / "out/latest").iterdir()} == NAMES
     assert read_metrics(spark, str(tmp_path / "out/metrics_log")).count() == 1
     tables.requests(spark, SF).write.parquet(str(tmp_path / "requests"))
     run("score", tmp_path / "requests", tmp_path / "out/model", tmp_path / "scores")
-    scored = spark.read.parquet(str(tmp_path / "scores/scored")).count()
-    rejected = spark.read.parquet(str(tmp_path / "scores/rejected")).count()
-    assert scored > 0 and scored + rejected == tables.requests(spark, SF).count()
-    run("export", tmp_path / "csv", "--option", f"path={tmp_path / 'docs'}", "--max-rows", 12)
-    assert spark.read.json(str(tmp_path / "docs")).count() == 12
+    scores = spark.read.parquet(str(tmp_path / "scores"))
+    assert scores.filter("status = 'scored'").count() > 0
+    assert scores.count() == tables.requests(spark, SF).count()
+    run("export", tmp_path / "csv", "--single-line", "--option", f"path={tmp_path / 'docs'}")
+    assert spark.read.json(str(tmp_path / "docs")).count() > 0

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from sentiflow.operators import (
     hash_split,
-    sample_per_class,
-    sample_rows,
     stratified_split,
     with_hash_split,
     with_stratified_split,
@@ -54,18 +52,17 @@ def test_stratified_split_is_exact(skewed):
     assert got == {r.review_id for r in moved.collect()}
 
 
-@pytest.mark.parametrize("size", [0, 1, 2, 500, 100_000])
-def test_sample_per_class_is_exact(skewed, size):
-    rows = [(r.review_id, r.label) for r in skewed.collect()]
-    got = [r.review_id for r in sample_per_class(skewed, size).collect()]
-    assert len(got) == len(set(got))
-    assert set(got) == lowest(rows, lambda n: min(n, size))
+def test_any_label_is_a_class(spark):
+    label = F.when(F.col("id") % 3 == 0, 7.0).when(F.col("id") % 3 == 1, -1.0)
+    rows = spark.range(3000).select(F.col("id").alias("review_id"), label.alias("label"))
+    tested = with_stratified_split(rows).filter("split = 'test'").groupBy("label").count().collect()
+    assert {r.label: r["count"] for r in tested} == {7.0: 200, -1.0: 200, None: 200}
 
 
-def test_sample_rows(skewed):
-    got = {r.review_id for r in sample_rows(skewed, 700).collect()}
-    assert got == lowest([(i, 0) for i in range(20_000)], lambda n: 700)
-    assert sample_rows(skewed, 700).columns == skewed.columns
+def test_equal_keys_stay_together(skewed):
+    twice = skewed.unionByName(skewed)
+    sides = with_stratified_split(twice).groupBy("review_id").agg(F.count_distinct("split").alias("n"))
+    assert sides.filter("n > 1").count() == 0
 
 
 def test_rows_are_ranked_only_within_one_bucket(skewed):

@@ -18,7 +18,6 @@ from sentiflow.functions.fixed_values import (
     ENGLISH_STOPWORDS,
 )
 from sentiflow.operators import clean_reviews, review_funnel, split_rejects
-from sentiflow.sources import requests_df
 
 REVIEW = "review_id bigint, Reviews string, Rating string, `Product Name` string, `Brand Name` string, Price double"
 
@@ -84,7 +83,7 @@ def test_cleaning_and_funnel_agree(spark):
 
 
 def test_rejects(spark):
-    rows = requests_df(spark, [("a", "Good!"), ("b", ""), ("c", "!!! 123"), ("d", None)])
+    rows = spark.createDataFrame([("a", "Good!"), ("b", ""), ("c", "!!! 123"), ("d", None)], "request_id string, text string")
     accepted, rejected = split_rejects(rows)
     assert [r.request_id for r in accepted.collect()] == ["a"]
     assert sorted(r.request_id for r in rejected.collect()) == ["b", "c", "d"]
