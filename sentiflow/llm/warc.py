@@ -147,7 +147,7 @@ def _write_task(batches: Iterable[pa.RecordBatch], folder: str, archive_bytes: i
         n, written = 0, len(front)
         with store.open_output_stream(f"{base}/{name}") as out:
             out.write(front)
-            while record is not None and written < archive_bytes:
+            while record is not None and (n == 0 or written < archive_bytes):
                 frame = compress(record)
                 out.write(frame)
                 n, written = n + 1, written + len(frame)
@@ -158,7 +158,8 @@ def _write_task(batches: Iterable[pa.RecordBatch], folder: str, archive_bytes: i
 def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write rows of ``page_records`` as archives into ``folder``: one row per archive.
 
-    A task starts a new archive when one has reached ``archive_bytes``. No rows: no archives.
+    A task starts a new archive when one has reached ``archive_bytes``; each has one record at least,
+    however small that is. No rows: no archives.
     """
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
