@@ -5,8 +5,8 @@ reply is trained on. A conversation that does not end with a reply adds one exam
 so that every turn is in the output.
 
 The template marks each turn as ``<|role|>\\ntext<|end|>``. Texts and roles are escaped so that they
-hold neither ``<`` nor ``[``, and so no control string of this or of other common templates; reading
-the examples back undoes this exactly.
+hold none of ``<``, ``[`` and ``|``, and so no control string of this or of other common templates;
+reading the examples back undoes this exactly.
 
 All turns of a conversation are gathered in one row, as an example needs them together. The formatted
 text of its examples is made row by row from there and grows with the square of the turns, as the
@@ -22,7 +22,7 @@ TRAINED_ROLE = "assistant"
 END = "<|end|>"
 #: Escapes, applied in this order and undone in the opposite one. Each leaves no bare backslash that
 #: could be taken for another.
-ESCAPES = (("\\", "\\s"), ("<", "\\l"), ("[", "\\b"))
+ESCAPES = (("\\", "\\s"), ("<", "\\l"), ("[", "\\b"), ("|", "\\p"))
 
 
 def escape(text: Column) -> Column:

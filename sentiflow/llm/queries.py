@@ -141,7 +141,7 @@ WITH said AS (
   UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
 marked AS (
   SELECT *, row_number() OVER w AS k, count(*) OVER (PARTITION BY conv_id) AS n,
-         sum(2 * length(role || text) - length(replace(replace(replace(role || text, '', ''), '<', ''), '[', ''))
+         sum(2 * length(role || text) - length(translate(role || text, chr(92) || '<[|', ''))
              + 12) OVER (w ROWS UNBOUNDED PRECEDING) AS chars
   FROM said WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
 SELECT conv_id, count(*) AS n_turns,
