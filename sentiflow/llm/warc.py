@@ -145,7 +145,8 @@ def _write_task(batches: Iterable[pa.RecordBatch], folder: str, archive_bytes: i
     while record is not None:
         name = f"{uuid.uuid4().hex}.warc.zst"
         n, written = 0, len(front)
-        with store.open_output_stream(f"{base}/{name}") as out:
+        # Without this Arrow would compress the archive once more, by its name.
+        with store.open_output_stream(f"{base}/{name}", compression=None) as out:
             out.write(front)
             while record is not None and (n == 0 or written < archive_bytes):
                 frame = compress(record)
@@ -263,7 +264,7 @@ def _read_task(batches: Iterable[pa.RecordBatch], payloads: bool) -> Iterator[pa
     size = 0
     for path in (p for batch in batches for p in batch.column(0).to_pylist()):
         store, name = fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", path))
-        with store.open_input_stream(name) as stream:
+        with store.open_input_stream(name, compression=None) as stream:
             try:
                 for data in frames(stream):
                     row = parse_record(data)

@@ -132,6 +132,8 @@ def test_archives_of_pages(spark, tmp_path):
     repeated = pages.unionByName(pages.filter("page_id = 7")).unionByName(pages.filter("page_id = 2").withColumn("page_id", F.lit(None).cast("bigint")))
     written = warc.write_archives(warc.page_records(repeated), str(tmp_path / "a"), archive_bytes=1500)
     assert written.count() >= 2 and written.agg(F.sum("records")).first()[0] == 10
+    for file in (tmp_path / "a").iterdir():
+        assert file.read_bytes()[:4] == struct.pack("<I", 0x184D2A5D)
     for archives in (written, warc.archives_in(spark, str(tmp_path / "a"))):
         rows = warc.read_archives(archives).collect()
         assert len(rows) == 10 and not any(r.error for r in rows)
