@@ -181,20 +181,25 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     larger than any other and stays where the whole component has no other. Other columns are ignored.
     """
     rows = docs.select("doc_id", words_of(text_or_empty()).alias("words"))
-    hashed = rows.select("doc_id", F.md5(F.array_join("words", " ")).alias("id"), shingles(F.col("words"), k).alias("set"))
+    rows = rows.select("doc_id", F.md5(F.array_join("words", " ")).alias("id"), "words")
+    hashed = rows.select("doc_id", "id", shingles(F.col("words"), k).alias("set"))
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, id string, n bigint, registers binary"
     sketched = stage(hashed.mapInArrow(_sketch_task, schema), "sketches")
 
-    sketches = sketched.filter("n > 0").groupBy("id").agg(F.first("n").alias("n"), F.first("registers").alias("registers"))
+    sketches = sketched.filter("n > 0").groupBy("id").agg(
+        F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("registers").alias("registers")
+    )
     classes = stage(sketches, "classes")
     width = 2 * REGISTERS // BANDS
     buckets = F.explode(F.array(*(F.xxhash64(F.lit(j), F.substring("registers", j * width + 1, width)) for j in range(BANDS))))
     members = in_blocks(classes.select("id", buckets.alias("g")), F.lit(1), BUCKET_ROWS // 2)
-    candidates = by_group(members.join(classes, "id"), _bucket_edges(percent / 100 - MARGIN), EDGES)
+    candidates = by_group(members.join(classes.select("id", "n", "registers"), "id"), _bucket_edges(percent / 100 - MARGIN), EDGES)
     families = components(candidates)
 
-    # The full sets of the families' classes, each made from one of its documents.
-    again = hashed.join(families.select(F.col("node").alias("id"), "root"), "id")
+    # The full sets of the families' classes, each made from its first document only.
+    wanted = families.withColumnRenamed("node", "id").join(classes.select("id", "doc"), "id")
+    again = lookup(rows, wanted, "id").filter(F.col("doc_id").eqNullSafe(F.col("doc")))
+    again = again.select("id", "root", shingles(F.col("words"), k).alias("set"))
     sets = again.groupBy("id", "root").agg(F.first("set").alias("shingles"))
     sets = stage(sets.select("id", F.xxhash64("root").alias("g"), "shingles", F.size("shingles").alias("n")), "family-sets")
     links = by_group(in_blocks(sets, F.col("n"), FAMILY_ELEMENTS // 2), _family_edges(percent), EDGES)
