@@ -28,8 +28,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: shingles of five words, similarity 0.8."""
-    return setsketch.without_near_duplicates(docs)
+    """One row of each group of near duplicates: shingles of five words, similarity 0.8."""
+    return setsketch.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -170,16 +170,8 @@ def _family_edges(percent: int):
     return work
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """For each row of ``docs`` (``doc_id``, ``text``): ``n_shingles``, ``component_id`` (smallest
-    ``doc_id`` reachable over links, its own included), ``kept`` (whether that is its own) and ``id``,
-    its class of equal texts.
-
-    Documents are linked when 100 times their common shingles of ``k`` words are at least ``percent``
-    times all of theirs. Null and empty texts and those without words have no shingles, are linked
-    with nothing and kept. Rows with one ``doc_id`` are documents of their own; a null ``doc_id`` is
-    larger than any other and stays where the whole component has no other. Other columns are ignored.
-    """
+def _rooted(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """``doc_id``, ``id``, ``n_shingles`` and ``root`` (the component, null without words) of each row."""
     rows = docs.select("doc_id", words_of(text_or_empty()).alias("words"))
     rows = rows.select("doc_id", F.md5(F.array_join("words", " ")).alias("id"), "words")
     hashed = rows.select("doc_id", "id", shingles(F.col("words"), k).alias("set"))
@@ -207,7 +199,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     linked = sketched.select("doc_id", "id", F.col("n").alias("n_shingles"))
     rooted = lookup(linked, found.withColumnRenamed("node", "id"), "id", "left")
-    rooted = stage(rooted.withColumn("root", F.when(F.col("n_shingles") > 0, F.coalesce("root", "id"))), "rooted")
+    return stage(rooted.withColumn("root", F.when(F.col("n_shingles") > 0, F.coalesce("root", "id"))), "rooted")
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """For each row of ``docs`` (``doc_id``, ``text``): ``n_shingles``, ``component_id`` (smallest
+    ``doc_id`` reachable over links, its own included), ``kept`` (whether that is its own) and ``id``,
+    its class of equal texts.
+
+    Documents are linked when 100 times their common shingles of ``k`` words are at least ``percent``
+    times all of theirs. Null and empty texts and those without words have no shingles, are linked
+    with nothing and kept. Rows with one ``doc_id`` are documents of their own; a null ``doc_id`` is
+    larger than any other and stays where the whole component has no other. Other columns are ignored.
+    """
+    rooted = _rooted(docs, k, percent)
     least = rooted.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
     least = least.filter("rows > 1").select("root", "least")
     return lookup(rooted, least, "root", "left").select(
@@ -223,7 +228,7 @@ def without_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> D
     """``docs`` with all columns, one document of each component: that with its smallest ``doc_id``.
 
     A document stands for its rows: should the one that stays be there repeatedly, all its rows stay,
-    as do all documents without words.
+    as do all documents without words; ``one_of_each`` keeps one row.
     """
     found = near_duplicates(docs.select("doc_id", "text"), k, percent)
     number = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(""))
@@ -232,3 +237,33 @@ def without_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> D
     id_ = F.md5(F.array_join(words_of(text_or_empty()), " "))
     rows = docs.select(F.struct("*").alias("row"), F.struct(number("doc_id").alias("doc_id"), id_.alias("id")).alias("key"))
     return lookup(rows, stage(dropped, "near-duplicates"), "key", "left").filter("dropped is null").select("row.*")
+
+
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with all columns, exactly one row of each component and all rows without words.
+
+    The row that stays has the component's smallest ``doc_id``, a null one being larger than any
+    other. Among several such rows go by the class of equal texts, then by a digest of all columns.
+    """
+    rooted = _rooted(docs.select("doc_id", "text"), k, percent)
+    # A null doc_id is told apart from an empty one.
+    number = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("")).alias("doc_id")
+    here = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "id")
+    firsts = rooted.filter("root is not null").groupBy("root").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("rows"))
+    firsts = firsts.filter("rows > 1").select("root", "first")
+    # Of the keys in components of several rows, only the first one stays, and that may be repeated.
+    fates = (
+        lookup(rooted.select("root", "doc_id", "id"), firsts, "root")
+        .groupBy(F.struct(number, "id").alias("key"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.max(here.eqNullSafe(F.col("first"))).alias("stays"))
+    )
+    fates = stage(fates.filter("not stays or rows > 1").select("key", "stays"), "near-duplicates")
+    id_ = F.md5(F.array_join(words_of(text_or_empty()), " ")).alias("id")
+    rows = docs.select(F.struct("*").alias("row"), F.struct(number, id_).alias("key"))
+    single = lookup(rows, fates, "key", "left").filter("stays is null").select("row.*")
+    repeated = fates.filter("stays")
+    if repeated.isEmpty():
+        return single
+    digest = F.md5(F.to_json("row"))
+    once = lookup(rows, repeated, "key").groupBy("key").agg(F.min_by("row", digest).alias("row"))
+    return single.unionByName(once.select("row.*"))

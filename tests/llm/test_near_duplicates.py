@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from sentiflow.llm import crosspolytope, groups, setsketch
 
 from ..conftest import SF
@@ -67,6 +68,27 @@ def test_null_and_repeated_ids(spark):
     assert sorted(map(str, (r.doc_id for r in kept.collect()))) == ["3", "3", "7", "None"]
 
 
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    def text(name, changed=None):
+        return " ".join(f"{name}{i}" if i != changed else "other" for i in range(100))
+
+    rows = [(3, text("a"), "x"), (3, text("a"), "x"), (None, text("a"), "x"), (5, text("a", 50), "x")]
+    rows += [(None, text("b"), "x"), (None, text("b"), "x"), (None, text("b", 40), "y")]
+    rows += [(8, text("c"), "x"), (8, text("c", 30), "x"), (10, text("c", 60), "x")]
+    rows += [(9, text("d"), "x"), (9, text("d").upper(), "y"), (9, text("d"), "z")]
+    rows += [(None, "", "x"), (None, "", "x"), (7, None, "x"), (7, None, "x"), (11, text("e"), "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    kept = corpus_pipeline.dedup_documents(spark, docs, SF)
+    assert kept.columns == docs.columns
+    got = sorted(map(str, kept.collect()))
+    group = lambda r: (r.doc_id, (r.text or "")[:1].lower())
+    groups_ = sorted(map(str, map(group, kept.collect())))
+    expected = [(3, "a"), (None, "b"), (8, "c"), (9, "d"), (None, ""), (None, ""), (7, ""), (7, ""), (11, "e")]
+    assert groups_ == sorted(map(str, expected))
+    again = spark.createDataFrame(rows[::-1], docs.schema).repartition(5)
+    assert sorted(map(str, corpus_pipeline.dedup_documents(spark, again, SF).collect())) == got
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(1)
     sketch = lambda x: setsketch.registers(x, np.array([0]))[0].astype(int)
