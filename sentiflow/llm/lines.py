@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.lookup import lookup
@@ -32,11 +32,16 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
+def _occurrence() -> Column:
+    """Order of a line's occurrences. Different texts under one ``doc_id``, or without, are told apart."""
+    return F.struct("doc_id", F.col("key.text").alias("text"), "place")
+
+
 def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES, log2_k: int = REGISTERS_LOG2) -> DataFrame:
-    """``line`` and ``first`` (smallest ``doc_id`` and place) of lines on at least ``min_sites`` sites."""
+    """``line`` and ``first`` (smallest ``doc_id``, text hash and place) of lines on at least ``min_sites`` sites."""
     margin = max(1.0, SAFE_ERRORS * 1.04 / math.sqrt(2**log2_k) * min_sites)
     sketched = lines.groupBy("line").agg(
-        F.hll_sketch_agg("source", F.lit(log2_k)).alias("sketch"), F.min(F.struct("doc_id", "place")).alias("first")
+        F.hll_sketch_agg("source", F.lit(log2_k)).alias("sketch"), F.min(_occurrence()).alias("first")
     )
     estimated = sketched.select("line", "first", F.hll_sketch_estimate("sketch").alias("sites"))
     likely = stage(estimated.filter(F.col("sites") >= min_sites - margin), "line-estimates")
@@ -57,18 +62,17 @@ def without_spread_lines(docs: DataFrame, min_sites: int = MIN_SITES, log2_k: in
 
     Lines are compared without the spaces around them; blank ones are never removed. Null sources are
     no site. Null texts stay null and have no lines. The first occurrence goes by ``doc_id`` (null
-    first), then by place; equal rows that hold it all keep it. Other columns stay in ``row``,
-    whatever their names.
+    first), then by a hash of the text, then by place; only rows equal in both ``doc_id`` and text
+    that hold it all keep it. Other columns stay in ``row``, whatever their names.
     """
     text = F.col("text").cast("string")
     key = F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.xxhash64(text).alias("text"))
     rows = docs.select(F.struct("*").alias("row"), key.alias("key"), "doc_id", F.col("source").cast("string"), text.alias("text"))
     lines = _lines(rows)
     spread = spread_lines(lines, min_sites, log2_k)
-    here = F.struct("doc_id", "place")
     removed = (
         lookup(lines, spread, "line")
-        .filter(~here.eqNullSafe(F.col("first")))
+        .filter(~_occurrence().eqNullSafe(F.col("first")))
         .groupBy("key")
         .agg(F.collect_set("place").alias("removed"))
     )

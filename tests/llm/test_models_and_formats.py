@@ -217,6 +217,19 @@ def test_near_threshold_lines_are_counted(spark):
     assert lines.deduplicated(docs, min_sites=9).exceptAll(docs).count() == 0
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_lines_of_texts_without_ids_of_their_own(spark, doc_id):
+    rows = [(doc_id, f"header\nown {i}", f"s{i % 8}") for i in range(40)]
+    docs = spark.createDataFrame(rows + rows[:1], "doc_id bigint, text string, source string")
+    cleaned = [(r.row.text, r.text, r.n_removed) for r in lines.without_spread_lines(docs).collect()]
+    assert len({before for before, after, _ in cleaned if before == after}) == 1
+    assert all(after in (before, before.removeprefix("header\n")) for before, after, _ in cleaned)
+    # Smaller ids come first as numbers.
+    more = spark.createDataFrame([(10, "header\nten", "s1"), (9, "header\nnine", "s2")], docs.schema)
+    kept = lines.deduplicated(docs.filter("doc_id is not null").unionByName(more), min_sites=2)
+    assert {r.text for r in kept.filter("doc_id > 8").collect()} == ({"ten", "nine"} if doc_id else {"ten", "header\nnine"})
+
+
 # The pipeline
 
 
