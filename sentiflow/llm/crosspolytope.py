@@ -82,6 +82,29 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+class _Vectors:
+    """Vectors of a table of whole groups; those of one group have one length, groups may differ."""
+
+    def __init__(self, column: pa.ChunkedArray):
+        lists = column.combine_chunks()
+        self.starts = lists.offsets.to_numpy()
+        self.flat = lists.values.to_numpy(zero_copy_only=False)
+
+    def of(self, first: int, end: int) -> np.ndarray:
+        """Vectors of the rows of a group as a matrix."""
+        return self.flat[self.starts[first] : self.starts[end]].reshape(end - first, -1)
+
+    def dots(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Inner products of rows ``a`` and ``b``, pair by pair."""
+        lengths = self.starts[a + 1] - self.starts[a]
+        out = np.empty(len(a))
+        for length in np.unique(lengths):
+            at = np.flatnonzero(lengths == length)
+            one, other = (self.flat[self.starts[x[at]][:, None] + np.arange(length)] for x in (a, b))
+            out[at] = np.einsum("ij,ij->i", one, other)
+        return out
+
+
 def _by_width(batch: pa.RecordBatch, name: str) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with vectors of one length each."""
     lengths = pc.list_value_length(batch.column(name))
@@ -101,13 +124,13 @@ def _key_task(batches: Iterable[pa.RecordBatch], tables: int, hashes: int) -> It
 
 def _edges(threshold: float):
     def work(table: pa.Table, cuts: np.ndarray) -> pa.Table:
-        units, edges = _matrix(table.column("unit")), []
+        units, edges = _Vectors(table.column("unit")), []
         two = np.flatnonzero(np.diff(cuts) == 2)
         a, b = cuts[two], cuts[two] + 1
-        good = np.einsum("ij,ij->i", units[a], units[b]) >= threshold
+        good = units.dots(a, b) >= threshold
         edges += zip(a[good].tolist(), b[good].tolist())
         for k in np.flatnonzero(np.diff(cuts) > 2):
-            first, rows = cuts[k], units[cuts[k] : cuts[k + 1]]
+            first, rows = cuts[k], units.of(cuts[k], cuts[k + 1])
 
             def linked(i: int, others: np.ndarray, rows=rows) -> np.ndarray:
                 return rows[others] @ rows[i] >= threshold
@@ -120,17 +143,18 @@ def _edges(threshold: float):
 
 def _counts(threshold: float):
     def work(table: pa.Table, cuts: np.ndarray) -> pa.Table:
-        units = _matrix(table.column("unit"))
+        units = _Vectors(table.column("unit"))
         rows = table.column("rows").to_numpy().astype(np.float64)
         block = table.column("block").to_numpy()
         i, j = table.column("i").to_numpy(), table.column("j").to_numpy()
-        links = np.zeros(len(units))
+        links = np.zeros(len(rows))
         for k in range(len(cuts) - 1):
-            own = np.arange(cuts[k], cuts[k + 1])
+            first, mine = cuts[k], units.of(cuts[k], cuts[k + 1])
+            own = np.arange(first, cuts[k + 1])
             one, other = own[block[own] == i[own]], own[block[own] == j[own]]
             for start in range(0, len(one), 1024):
                 part = one[start : start + 1024]
-                near = (units[part] @ units[other].T >= threshold).astype(np.float64)
+                near = (mine[part - first] @ mine[other - first].T >= threshold).astype(np.float64)
                 if i[cuts[k]] == j[cuts[k]]:
                     near[part[:, None] == other[None, :]] = 0
                     links[part] += near @ rows[other]
@@ -191,7 +215,7 @@ def near_duplicates(
     held = keyed.select("id", "label", F.explode(F.array_distinct("keys")).alias("key"))
     members = in_blocks(held.select("id", F.xxhash64("label", "key").alias("g")), F.lit(1), BLOCK_ROWS // 2)
     by_key = members.join(classes.select("id", "unit", "label"), "id")
-    # Rows of one task have one length of vectors and one label, whatever keys collide.
+    # Rows of one group have one length of vectors and one label, whatever keys collide.
     apart = by_key.withColumn("g", F.xxhash64("g", "label", F.size("unit"))).drop("label")
     found = components(by_group(apart, _edges(threshold), EDGES)).withColumnRenamed("node", "id")
 

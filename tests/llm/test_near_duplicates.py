@@ -150,6 +150,21 @@ def test_vectors_against_brute_force(spark):
     assert crosspolytope.near_duplicates(table.filter("false")).count() == 0
 
 
+def test_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for width in (20, 4, 8):
+        for base in rng.normal(size=(5, width)):
+            rows += [(len(rows) + i, (base + rng.normal(size=width) * 0.02).tolist(), 0) for i in range(2 + len(rows) % 4)]
+    units = [np.array(v) / np.linalg.norm(v) for _, v, _ in rows]
+    linked = lambda a, b: len(units[a]) == len(units[b]) and units[a] @ units[b] >= 0.98
+    root = roots(range(len(rows)), linked)
+    links = [sum(linked(a, b) for b in range(len(rows)) if b != a) for a in range(len(rows))]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in crosspolytope.near_duplicates(table.coalesce(1)).collect()}
+    assert got == {i: (links[i], root[i]) for i in root}
+
+
 def test_vectors_in_small_blocks(spark, monkeypatch):
     table = spark.createDataFrame(vectors(), "vec_id bigint, embedding array<double>, label int")
     whole = {r.vec_id: tuple(r) for r in crosspolytope.near_duplicates(table).collect()}
