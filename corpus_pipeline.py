@@ -38,9 +38,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with an end id: ``doc_id``, ``n_tokens``, ``ids``."""
-    encoded = pieces.encode(docs, PIECES_MODEL)
-    return encoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
+    """Token ids of every document, with an end id, and a digest of the text they decode to:
+    ``doc_id``, ``n_tokens``, ``ids``, ``decoded_sha256``."""
+    encoded = pieces.encode(docs, PIECES_MODEL, decoded=True)
+    digest = F.sha2("decoded", 256).alias("decoded_sha256")
+    return encoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", digest)
 
 
 STAGES = [

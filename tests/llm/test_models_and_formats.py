@@ -1,5 +1,6 @@
 """What SQL cannot express: the classifier, tokens, archives; and details of the other operators."""
 
+import hashlib
 import random
 import struct
 
@@ -256,3 +257,9 @@ def test_pipeline_stages(spark):
     assert kept["mixing"].count() == kept["encoding"].count()
     for row in kept["encoding"].collect():
         assert row.ids == library.encode(lined[row.doc_id], add_eos=True) and row.n_tokens == len(row.ids)
+
+
+def test_pipeline_decodes_what_it_encodes(spark):
+    texts = ["plain words", "İ ẞ 🙂 \n two  spaces", None, ""]
+    rows = corpus_pipeline.encode(spark, documents(spark, texts), SF).collect()
+    assert {r.doc_id: r.decoded_sha256 for r in rows} == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in enumerate(texts)}
