@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, crosspolytope, imatch, licenses, lines, mixing, pieces, quality, setsketch, warc
+from . import (
+    chat,
+    covertree,
+    crosspolytope,
+    imatch,
+    licenses,
+    lines,
+    mixing,
+    pieces,
+    quality,
+    setsketch,
+    spelling,
+    tokencounts,
+    warc,
+)
 from .common import read
 
 
@@ -262,6 +276,91 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variants of the words of all documents, in which one run in 199 has lost a letter."""
+    runs = spelling.letter_runs(read(spark, sf_dir, "documents")).filter(F.length("run") >= 6)
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "run")
+    lost = F.col("hash") % F.length("run")
+    rest = F.concat(F.substr("run", F.lit(1), lost.cast("int")), F.substr("run", (lost + 2).cast("int"), F.length("run")))
+    word = F.when(F.col("hash") % 199 == 0, rest).otherwise(F.col("run"))
+    return spelling.variants(runs.withColumn("hash", F.crc32(name.cast("binary"))).select(word.alias("word")))
+
+
+#: With the remainders of all bytes, and by them the hash of the bytes of a text.
+OP11_SQL = r"""
+WITH RECURSIVE byte_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+           lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS remainders),
+run AS (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' || r AS name, r AS run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+          'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{00C0}-\x{00FF}]+')) AS r FROM documents)
+  WHERE length(r) >= 6 GROUP BY ALL),
+hashed AS (
+  SELECT run, times, xor(4294967295, list_reduce(
+           list_prepend(4294967295, list_transform(range(octet_length(encode(name))),
+             lambda i: ('0x' || substr(hex(encode(name)), 2 * i + 1, 2))::BIGINT)),
+           lambda c, b: xor(c // 256, remainders[xor(c, b) % 256 + 1]))) AS h
+  FROM run, byte_table),
+counted AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+         sum(times)::BIGINT AS n
+  FROM hashed GROUP BY ALL),
+word AS (SELECT * FROM counted WHERE length(word) >= 6 AND n >= 5),
+less AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT *, unnest(range(length(word))) AS i FROM word)),
+near AS (
+  SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM less a JOIN word b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM less a JOIN word b ON a.rest = b.word),
+best AS (
+  SELECT word, n, count(*) AS n_near, min(struct_pack(less := -near_n, near := near)) AS best FROM near GROUP BY ALL),
+form AS (SELECT word, best.near AS form, -best.less AS form_n FROM best WHERE -best.less >= 5 * n),
+step AS (
+  SELECT word, word AS root, 0 AS steps FROM word
+  UNION ALL SELECT s.word, f.form, steps + 1 FROM step s JOIN form f ON f.word = s.root)
+SELECT w.word, form, root, w.n, coalesce(n_near, 0) AS n_near, form_n
+FROM word w LEFT JOIN best b ON b.word = w.word LEFT JOIN form f ON f.word = w.word
+JOIN (SELECT word, max_by(root, steps) AS root FROM step GROUP BY word) s ON s.word = w.word
+"""
+
+#: Longer documents are reported.
+TOKEN_LIMIT = 4096
+
+
+def op12_tokencounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = tokencounts.count_tokens(read(spark, sf_dir, "documents"), PIECES_MODEL)
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def op13_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of all anchors; one row in seven has its neighbour's label."""
+    wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return covertree.hard_negatives(read(spark, sf_dir, "embeddings").withColumn("label", wrong))
+
+
+OP13_SQL = """
+WITH sound AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+  SELECT a.r, a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+         list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM sound a JOIN sound b ON len(a.v) = len(b.v) AND a.r <> b.r WHERE a.vec_id % 50 = 0),
+positive AS (
+  SELECT r, anchor_id, other AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY r ORDER BY score DESC, other) AS place
+  FROM scored WHERE same QUALIFY place <= 5),
+negative AS (
+  SELECT p.*, s.other AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.r, p.place ORDER BY s.score DESC, s.other)::INTEGER AS rank
+  FROM positive p JOIN scored s ON s.r = p.r AND NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+  QUALIFY rank <= 3)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negative
+"""
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_warc": op2_warc,
@@ -273,6 +372,9 @@ QUERIES = {
     "op8_setsketch": op8_setsketch,
     "op9_crosspolytope": op9_crosspolytope,
     "op10_pieces": op10_pieces,
+    "op11_spelling": op11_spelling,
+    "op12_tokencounts": op12_tokencounts,
+    "op13_covertree": op13_covertree,
 }
 
 ORACLES = {
@@ -282,4 +384,6 @@ ORACLES = {
     "op5_chat": OP5_SQL,
     "op6_imatch": OP6_SQL,
     "op7_mixing": OP7_SQL,
+    "op11_spelling": OP11_SQL,
+    "op13_covertree": OP13_SQL,
 }

@@ -18,6 +18,9 @@ TEXTS = [
 ]
 
 
+TABLES = ("documents", "pages", "conversations", "embeddings", "labels")
+
+
 @pytest.fixture(scope="module")
 def edge_dir(spark, tmp_path_factory):
     """Tables with nulls, ties, repeated rows, long texts and clashing columns."""
@@ -39,12 +42,20 @@ def edge_dir(spark, tmp_path_factory):
     ]
     talks = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
     talks.withColumn("marked", F.lit(1)).write.parquet(f"{folder}/conversations.parquet")
+    far, nan = float("inf"), float("nan")
+    vectors = [(i, [0.1 * (i % 7), 0.3, -0.2 + 0.01 * i], i % 3) for i in range(101)]
+    vectors += [(100, [0.4, 0.3, 0.1], 1), (100, [0.4, 0.3, 0.1], 1), (50, None, 1), (50, [0.1, None, 0.2], 1), (150, [nan, 0.0, 0.0], 2)]
+    vectors += [(200, [far, 0.0, 0.0], 2), (250, [0.0, 0.0, 0.0], 2), (300, [0.1, 0.2, 0.3], None), (None, [0.4, 0.3, 0.1], 1), (350, [-0.4, -0.3, -0.1], 1), (400, [], 1), (401, [], 2)]
+    table = spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>, label int")
+    table.withColumn("row", F.lit("clash")).withColumn("g", F.lit(1)).withColumn("tree", F.lit(1)).write.parquet(f"{folder}/embeddings.parquet")
+    labels = [(i, i % 2, 0) for i in range(0, 40, 3)] + [(3, 1, 0), (None, 1, 0), (5, None, 0), (99, 1, 0)]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     return folder
 
 
 def edge_database(folder):
     db = duckdb.connect()
-    for table in ("documents", "pages", "conversations"):
+    for table in TABLES:
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet/*.parquet')")
     return db
 
@@ -53,7 +64,7 @@ def test_registration():
     names = {*QUERIES, "pipeline"}
     assert names <= set(__spark_entry__.queries())
     assert set(ORACLES) <= set(__spark_entry__.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -66,9 +77,9 @@ def test_equals_sql_on_edge_cases(spark, edge_dir, name):
     assert differences(QUERIES[name](spark, edge_dir), edge_database(edge_dir), ORACLES[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted({*QUERIES} - {"op1_quality", "op9_crosspolytope"}))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_empty_tables(spark, edge_dir, tmp_path, name):
-    for table in ("documents", "pages", "conversations"):
+    for table in TABLES:
         spark.read.parquet(f"{edge_dir}/{table}.parquet").filter("false").write.parquet(f"{tmp_path}/{table}.parquet")
     assert QUERIES[name](spark, str(tmp_path)).count() == (1 if name == "op5_chat" else 0)
 
