@@ -145,8 +145,8 @@ def _document_rows(batches: Iterable[pa.RecordBatch], known: dict[str, int]) ->
         )
 
 
-def _rare_sums(batches: Iterable[pa.RecordBatch], count: PieceCounter) -> Iterator[pa.RecordBatch]:
-    """Tokens that rare pre-tokens add to each document; those of a task are counted once each."""
+def _rare_tokens(batches: Iterable[pa.RecordBatch], count: PieceCounter) -> Iterator[pa.RecordBatch]:
+    """Tokens that each rare pre-token adds to a document; those of a task are counted once each."""
     pieces: dict[str, int] = {}
     for batch in batches:
         if not len(batch):
@@ -159,9 +159,7 @@ def _rare_sums(batches: Iterable[pa.RecordBatch], count: PieceCounter) -> Iterat
         pieces.update(zip(new, count(new).tolist()))
         each = np.fromiter(map(pieces.__getitem__, words), np.int64, len(words))
         tokens = each[coded.indices.to_numpy()] * batch.column("n").to_numpy()
-        row, at = np.unique(batch.column("row").to_numpy(), return_inverse=True)
-        sums = np.bincount(at, tokens, len(row)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(sums)], ["row", "tokens"])
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(tokens)], ["row", "tokens"])
 
 
 def count_tokens(
@@ -205,11 +203,11 @@ def count_tokens(
     counted = stage(counted, "pre-token-frequencies")
 
     def rare_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _rare_sums(batches, PieceCounter(model))
+        return _rare_tokens(batches, PieceCounter(model))
 
     pairs = counted.select("row", F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("times").alias("n"))))
-    sums = pairs.repartition("word").mapInArrow(rare_task, "row bigint, tokens bigint")
-    sums = sums.groupBy("row").agg(F.sum("tokens").alias("tokens"))
+    rare = pairs.repartition("word").mapInArrow(rare_task, "row bigint, tokens bigint")
+    sums = rare.groupBy("row").agg(F.sum("tokens").alias("tokens"))
     return counted.select("row", "key", "n_bytes", "counted").join(sums, "row", "left").select(
         F.col("key").alias(key), "n_bytes", (F.col("counted") + F.coalesce("tokens", F.lit(0))).alias("n_tokens")
     )
