@@ -28,13 +28,15 @@ from ..sources.storage import stage
 from .groups import by_group
 
 #: Rows of a leaf, and children of a node at most.
-LEAF = 48
-CHILDREN = 24
+LEAF = 256
+CHILDREN = 16
 #: A child's rows are within this share of its parent's radius, if its children are enough.
 SHRINK = 0.6
-#: Bytes of a block's vectors, queries that meet a block at once, and groups that labels are dealt to.
+#: Bytes of a block's vectors, queries that meet a block in one task, those whose bounds are computed
+#: together, and groups that labels are dealt to.
 BLOCK_BYTES = 8_000_000
 QUERIES = 4096
+AT_ONCE = 256
 LABEL_GROUPS = 64
 #: Products up to here are exact in double precision.
 EXACT = 2.0**52
@@ -102,53 +104,57 @@ class CoverTree:
         with np.load(io.BytesIO(data)) as parts:
             return cls(**{name: parts[name] for name in cls.NAMES})
 
-    def bounds(self, query: np.ndarray, square: float, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Between which the products of a node's rows with ``query`` lie, a little more for rounding."""
-        products = self.rows[self.centre[nodes]] @ query
-        radius, total = self.radius[nodes], square + self.norm
+    def bounds(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Between which the products of each node's rows with each query lie, a little more for
+        rounding."""
+        squares = np.einsum("ij,ij->i", queries, queries)[:, None]
+        products, total = queries @ self.rows[self.centre].T, squares + self.norm
         distance = np.sqrt(np.maximum(total - 2 * products, 0))
-        slack = 0.25 + 1e-9 * total
-        high = np.minimum((total - np.maximum(distance - radius, 0) ** 2) / 2, products + np.sqrt(square) * radius)
-        low = np.maximum((total - (distance + radius) ** 2) / 2, products - np.sqrt(square) * radius)
+        slack, reach = 0.25 + 1e-9 * total, np.sqrt(squares) * self.radius
+        high = np.minimum((total - np.maximum(distance - self.radius, 0) ** 2) / 2, products + reach)
+        low = np.maximum((total - (distance + self.radius) ** 2) / 2, products - reach)
         return low - slack, high + slack
 
     def search(
-        self, query: np.ndarray, allowed: np.ndarray, low: np.ndarray, high: np.ndarray, k: int
+        self,
+        query: np.ndarray,
+        below: list[float],
+        above: list[float],
+        allowed: np.ndarray,
+        low: np.ndarray,
+        high: np.ndarray,
+        k: int,
     ) -> list[list[tuple[float, int]]]:
         """For each window from ``low`` to ``high``: the first ``k`` allowed rows with products in it,
-        largest first, ties by id, as ``(-product, id)``."""
-        square = float(query @ query)
+        largest first, ties by id, as ``(-product, id)``. ``below`` and ``above`` are the bounds of the
+        nodes for the query."""
         found: list[list[tuple[float, int]]] = [[] for _ in low]
-        least = low.astype(np.float64)  # what still matters to a window
-        nodes = np.zeros(1, np.int64)
-        heap: list[tuple[float, int, float]] = []
-        while True:
-            if len(nodes):
-                below, above = self.bounds(query, square, nodes)
-                useful = ((below[:, None] <= high) & (above[:, None] >= least)).any(1)
-                for n, b, a in zip(nodes[useful].tolist(), below[useful].tolist(), above[useful].tolist()):
-                    heapq.heappush(heap, (-a, n, b))
-            if not heap or -heap[0][0] < least.min():
-                return found
-            above, node, below = heapq.heappop(heap)
-            nodes = np.empty(0, np.int64)
-            if not ((below <= high) & (-above >= least)).any():
+        least, most = low.tolist(), high.tolist()  # least: what still matters to a window
+        heap = [(-above[0], 0)]
+        while heap and -heap[0][0] >= min(least):
+            node = heapq.heappop(heap)[1]
+            if not any(below[node] <= m and above[node] >= x for x, m in zip(least, most)):
                 continue
-            if count := self.children[node]:
-                nodes = np.arange(self.first[node], self.first[node] + count)
+            if self.children[node]:
+                for child in range(self.first[node], self.first[node] + self.children[node]):
+                    if any(below[child] <= m and above[child] >= x for x, m in zip(least, most)):
+                        heapq.heappush(heap, (-above[child], child))
                 continue
             start, end = self.start[node], self.end[node]
-            rows = start + np.flatnonzero(allowed[start:end])
-            products = self.rows[rows] @ query
-            for w in range(len(low)):
-                fits = np.flatnonzero((products >= least[w]) & (products <= high[w]))
+            products = self.rows[start:end] @ query
+            near = np.flatnonzero((products >= min(least)) & (products <= max(most)) & allowed[start:end])
+            if not len(near):
+                continue
+            products, ids = products[near], self.ids[start:end][near]
+            for w, (x, m) in enumerate(zip(least, most)):
+                fits = np.flatnonzero((products >= x) & (products <= m))
+                if len(fits) > k:  # all that could be among the first k, ties included
+                    fits = fits[products[fits] >= np.partition(products[fits], -k)[-k]]
                 if len(fits):
-                    if len(fits) > k:  # all that could be among the first k, ties included
-                        fits = fits[products[fits] >= np.partition(products[fits], -k)[-k]]
-                    new = zip((-products[fits]).tolist(), self.ids[rows[fits]].tolist())
-                    found[w] = heapq.nsmallest(k, [*found[w], *new])
+                    found[w] = heapq.nsmallest(k, [*found[w], *zip((-products[fits]).tolist(), ids[fits].tolist())])
                     if len(found[w]) == k:
-                        least[w] = max(least[w], -found[w][-1][0])
+                        least[w] = max(x, -found[w][-1][0])
+        return found
 
 
 def _matrix(column: pa.ChunkedArray, rows: np.ndarray) -> np.ndarray:
@@ -184,14 +190,19 @@ def _search(k: int, same: bool, windows: Windows) -> Callable[[pa.Table, np.ndar
             if len(queries) == len(here) or not len(queries):
                 continue
             tree = CoverTree.from_bytes(table.column("tree")[int(here[is_tree[here]][0])].as_py())
-            vectors = _matrix(table.column("v"), queries)
-            asked = table.column("asked").take(pa.array(queries)).to_pylist()
-            for query, vector, mine in zip(queries, vectors, asked):
-                allowed = tree.labels == labels[query]
-                allowed = allowed & (tree.keys != rows[query]) if same else ~allowed
-                low, high = windows(mine)
-                for place, best in enumerate(tree.search(vector, allowed, low, high, k)):
-                    out += [(int(rows[query]), place, other, int(-less)) for less, other in best]
+            mine = {label: tree.labels == label for label in np.unique(labels[queries])}
+            for part in np.array_split(queries, -(-len(queries) // AT_ONCE)):
+                vectors = _matrix(table.column("v"), part)
+                below, above = tree.bounds(vectors)
+                asked = table.column("asked").take(pa.array(part)).to_pylist()
+                for n, query in enumerate(part):
+                    allowed = mine[labels[query]]
+                    allowed = allowed & (tree.keys != rows[query]) if same else ~allowed
+                    low, high = windows(asked[n])
+                    if not len(low) or not allowed.any():
+                        continue
+                    best = tree.search(vectors[n], below[n].tolist(), above[n].tolist(), allowed, low, high, k)
+                    out += [(int(rows[query]), place, other, int(-less)) for place, rank in enumerate(best) for less, other in rank]
         columns = list(zip(*out)) or [()] * 4
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("row", "place", "other", "score"), columns)})
 

@@ -190,15 +190,21 @@ def test_tree_bounds_hold_and_prune(spark):
     nodes = np.arange(len(tree.radius))
     leaves = nodes[tree.children == 0]
     assert sum(tree.end[leaves] - tree.start[leaves]) == len(vectors)
-    for query in vectors[:20]:
-        low, high = tree.bounds(query, float(query @ query), nodes)
+    low, high = tree.bounds(vectors[:20])
+    for query, below, above in zip(vectors, low, high):
         products = tree.rows @ query
         for n in nodes:
             part = products[tree.start[n] : tree.end[n]]
-            assert low[n] <= part.min() and part.max() <= high[n]
-    seen = []
-    bounds = tree.bounds
-    tree.bounds = lambda q, s, n: seen.append(len(n)) or bounds(q, s, n)
-    best = tree.search(vectors[0], np.ones(len(vectors), bool), np.array([-np.inf]), np.array([np.inf]), 5)
+            assert below[n] <= part.min() and part.max() <= above[n]
+    anything = np.ones(len(vectors), bool)
+    read = []
+
+    class Noted(np.ndarray):
+        def __getitem__(self, rows):
+            read.append(rows)
+            return np.asarray(self)[rows]
+
+    tree.rows = tree.rows.view(Noted)
+    best = tree.search(vectors[0], low[0].tolist(), high[0].tolist(), anything, np.array([-np.inf]), np.array([np.inf]), 5)
     assert [-s for s, _ in best[0]] == sorted(vectors @ vectors[0], reverse=True)[:5]
-    assert sum(seen) < len(nodes) / 2
+    assert 0 < sum(part.stop - part.start for part in read) < len(vectors) / 2
