@@ -28,7 +28,7 @@ from ..sources.storage import stage
 from .groups import by_group
 
 #: Rows of a leaf, and children of a node at most.
-LEAF = 256
+LEAF = 512
 CHILDREN = 16
 #: A child's rows are within this share of its parent's radius, if its children are enough.
 SHRINK = 0.6
