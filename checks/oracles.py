@@ -209,6 +209,7 @@ UNION ALL SELECT 'accuracy', count(*) FROM test""",
 test AS (SELECT * FROM cleaned WHERE ('0x' || substr({_SPLIT_HASH}, 1, 8))::BIGINT % 10000 >= 8000)""",
     ),
     "csv_roundtrip": _ALL_REVIEWS,
+    "csv_split_roundtrip": _ALL_REVIEWS,
     "columnar_roundtrip": _ALL_REVIEWS,
     "project_reviews": _ALL_REVIEWS,
     "class_dimension": _over_reviews(

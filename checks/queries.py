@@ -52,6 +52,18 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def csv_split_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through one file that is read in ranges, whose cuts lie anywhere in it."""
+    path, table = scratch_path(spark, "reviews-one-csv"), scratch_path(spark, "reviews-split")
+    tables.reviews(spark, sf_dir).coalesce(1).write.options(
+        header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
+    ranged = spark.newSession()
+    ranged.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    ingest_reviews_csv(ranged, path, table, split=True)
+    return ops.project_reviews(read_reviews(spark, table)).withColumn("review_id", F.col("review_id").cast("bigint"))
+
+
 def columnar_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "reviews-orc")
     tables.reviews(spark, sf_dir).write.orc(path)
@@ -447,6 +459,7 @@ def full_analysis_support(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "csv_roundtrip": csv_roundtrip,
+    "csv_split_roundtrip": csv_split_roundtrip,
     "columnar_roundtrip": columnar_roundtrip,
     "class_dimension": class_dimension,
     "review_funnel": review_funnel,

@@ -19,13 +19,14 @@ LEARNERS = {"hashing": fit_hashing, "vocabulary": fit_vocab}
 def _reviews(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.format == "csv":
         table = args.table or scratch_path(spark, "ingested")
-        return ingest_reviews_csv(spark, args.reviews, table, multi_line=not args.single_line)
+        return ingest_reviews_csv(spark, args.reviews, table, multi_line=not args.single_line, split=args.split_files)
     return read_reviews(spark, args.reviews, args.format)
 
 
 def _review_arguments(command: argparse.ArgumentParser) -> None:
     command.add_argument("--format", default="csv")
     command.add_argument("--single-line", action="store_true", help="no line breaks in quotes: large CSV files are split")
+    command.add_argument("--split-files", action="store_true", help="read large files with line breaks in quotes in ranges")
     command.add_argument("--table", help="where to keep the table that CSV is converted to")
 
 

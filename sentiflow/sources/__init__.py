@@ -1,3 +1,4 @@
+from .csv_ranges import read_csv_ranges
 from .reviews import (
     CORRUPT,
     REVIEW_COLUMNS,
@@ -16,6 +17,7 @@ __all__ = [
     "class_dim",
     "corrupt_rows",
     "ingest_reviews_csv",
+    "read_csv_ranges",
     "read_reviews",
     "read_reviews_csv",
     "remove",

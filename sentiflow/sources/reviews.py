@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from ..functions.fixed_values import SENTIMENTS
 from ..functions.hashing import key_hash
 from ..functions.ratings import sentiment_name
+from .csv_ranges import read_csv_ranges
 
 REVIEW_COLUMNS = ["Reviews", "Rating", "Product Name", "Brand Name", "Price"]
 CORRUPT = "_corrupt_record"
@@ -22,6 +23,7 @@ def read_reviews_csv(
     path: str | list[str],
     mode: str = "PERMISSIVE",
     multi_line: bool = True,
+    split: bool = False,
     **options: str,
 ) -> DataFrame:
     """Scan review CSV files that have a header row.
@@ -29,8 +31,9 @@ def read_reviews_csv(
     Columns are taken by name from the header. Quoted line breaks and doubled quotes are read as
     text. Malformed rows are kept, with the original line in ``_corrupt_record`` (see
     ``corrupt_rows``). ``multi_line`` reads each file in one task, which suits files up to a few
-    hundred megabytes; set it to False for files without line breaks inside quotes, so that large ones
-    are split, and in any case ingest large CSV once with ``ingest_reviews_csv``.
+    hundred megabytes. Larger ones are read in ranges by many tasks with ``split`` (see
+    ``csv_ranges``), or with ``multi_line`` set to False where no line breaks occur inside quotes. In
+    any case ingest large CSV once with ``ingest_reviews_csv``.
     """
     reader = (
         spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line, **options)
@@ -42,12 +45,14 @@ def read_reviews_csv(
         raise ValueError(f"no column {missing} in {path}")
     fields = [T.StructField(n, _TYPES.get(n, T.StringType())) for n in names]
     corrupt = [T.StructField(CORRUPT, T.StringType())] if mode.upper() == "PERMISSIVE" else []
-    scan = reader.schema(T.StructType(fields + corrupt)).options(
-        mode=mode, columnNameOfCorruptRecord=CORRUPT, enforceSchema=False
-    )
+    schema = T.StructType(fields + corrupt)
     key = ["review_id"] if "review_id" in names else []
     columns = [f"`{c}`" for c in REVIEW_COLUMNS + key] + [f.name for f in corrupt]
-    return scan.csv(path).select(*columns)
+    parsing = {"mode": mode, "columnNameOfCorruptRecord": CORRUPT}
+    if split and multi_line:
+        ranges = {"quote": '"', "escape": '"', **options, **parsing}
+        return read_csv_ranges(spark, path, names, schema, ranges).select(*columns)
+    return reader.schema(schema).options(enforceSchema=False, **parsing).csv(path).select(*columns)
 
 
 def corrupt_rows(table: DataFrame) -> DataFrame:
