@@ -365,6 +365,13 @@ FROM (SELECT review_id, label, count(*) OVER (PARTITION BY label) AS n,
 
 ORACLES |= {
     "tfidf_long_shuffled": ORACLES["tfidf_long"],
+    "tfidf_incremental": ORACLES["tfidf_long"],
+    "top_words_sketched": ORACLES["top_words"],
+    "vocabulary_sketched": _over_texts(
+        """SELECT word, CAST(sum(tf) AS BIGINT) AS occurrences, count(*) AS documents
+FROM tf GROUP BY word ORDER BY occurrences DESC, word LIMIT 8000""",
+        _TF.format(min_chars=2),
+    ),
     "document_keywords_shuffled": ORACLES["document_keywords"],
     "csv_rejects": """SELECT 'doc ' || doc_id AS "Product Name", 'brand' AS "Brand Name", NULL::DOUBLE AS "Price",
        CASE WHEN doc_id % 3 = 2 THEN md5(text) END AS "Reviews", 'malformed record' AS error

@@ -154,6 +154,14 @@ def tfidf_long_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(ops.tfidf(tables.texts(spark, sf_dir), broadcast_bytes=0), "weight")
 
 
+def tfidf_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights by statistics that two loads have left, one of which ran twice."""
+    texts, state = tables.texts(spark, sf_dir), scratch_path(spark, "term-state")
+    for batch in (0, 1, 0):
+        ops.add_batch(texts.filter(F.col("review_id") % 3 == 0 if batch == 0 else F.col("review_id") % 3 != 0), state, str(batch))
+    return _rounded(ops.tfidf(texts, stats=ops.TermStatistics.merged(spark, state)), "weight")
+
+
 def vocab_tfidf_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(ops.vocab_tfidf(tables.texts(spark, sf_dir)), "weight")
 
@@ -192,6 +200,14 @@ def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.top_words(tables.cleaned(spark, sf_dir), stop_sets=("custom", "canonical"))
 
 
+def top_words_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.sketched_top_words(tables.cleaned(spark, sf_dir), stop_sets=("custom", "canonical"))
+
+
+def vocabulary_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.sketched_vocabulary(tables.texts(spark, sf_dir))
+
+
 def top_words_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.chart_words(top_words(spark, sf_dir))
 
@@ -478,6 +494,7 @@ QUERIES = {
     "tokens_filtered": tokens_filtered,
     "tfidf_long": tfidf_long,
     "tfidf_long_shuffled": tfidf_long_shuffled,
+    "tfidf_incremental": tfidf_incremental,
     "vocab_tfidf_long": vocab_tfidf_long,
     "keywords_top": keywords_top,
     "keywords_top_custom": keywords_top_custom,
@@ -486,6 +503,8 @@ QUERIES = {
     "class_distribution": class_distribution,
     "word_counts": word_counts,
     "top_words": top_words,
+    "top_words_sketched": top_words_sketched,
+    "vocabulary_sketched": vocabulary_sketched,
     "top_words_chart": top_words_chart,
     "sample_predictions": sample_predictions,
     "confusion_matrix": confusion_matrix,

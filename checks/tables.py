@@ -44,8 +44,10 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned texts of all documents, rated or not; only the length rule applies."""
+    """Cleaned texts of all documents, rated or not; only the length rule applies. They are dealt out
+    by their key, as the reviews are by their join: the given file is a single split."""
     documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("review_id"), "text")
+    documents = documents.repartition("review_id")
     return min_length(with_clean_text(documents, "text")).select("review_id", "clean_text")
 
 

@@ -8,6 +8,7 @@ from .evaluate import (
     unmatched_rows,
     weighted_metrics,
 )
+from .frequent import frequent_words, sketched_top_words, sketched_vocabulary
 from .keywords import keyword_counts, keywords, keywords_top
 from .lookup import lookup
 from .models import (
@@ -42,6 +43,6 @@ from .split import (
     with_stratified_split,
 )
 from .summary import chart_words, rank_words, sample_predictions, token_rows, top_words, word_counts
-from .terms import TermStatistics, document_terms, term_rows, tfidf
+from .terms import TermStatistics, add_batch, document_terms, term_rows, tfidf, word_statistics
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -30,7 +30,7 @@ from ..functions.fixed_values import (
 from ..functions.ratings import sentiment_name
 from .lookup import lookup
 from .prepare import empty_after_cleaning, split_rejects, with_clean_text
-from .terms import TermStatistics, document_terms
+from .terms import TermStatistics
 
 
 def _fit_learner(
@@ -79,13 +79,18 @@ def fit_hashing(
     return _fit_learner(features, texts, learner, partitions)
 
 
-def vocab_features(train: DataFrame, size: int = FEATURE_WIDTH) -> tuple[PipelineModel, int]:
+def vocab_features(
+    train: DataFrame, size: int = FEATURE_WIDTH, stats: TermStatistics | None = None
+) -> tuple[PipelineModel, int]:
     """Fitted vocabulary TF-IDF stages and the number of training documents.
 
+    ``stats`` are the statistics of the training texts (words of two letters at least) where they are
+    kept already.
+
     The vocabulary is the ``size`` most frequent words with ties by word, so refits agree; only
     these rows come to the driver, as part of the model. Vectors are built inside each row.
     """
-    stats = TermStatistics.of(document_terms(train.select("clean_text", F.lit(0).alias("one")), "one", min_chars=2))
+    stats = stats or TermStatistics.of(train, min_chars=2)
     vocabulary = stats.vocabulary(size).collect()
     if not vocabulary:
         raise ValueError("no words to train on")

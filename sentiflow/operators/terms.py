@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import ENGLISH_STOPWORDS, FEATURE_WIDTH
@@ -43,22 +43,54 @@ def term_rows(terms: DataFrame) -> DataFrame:
     return terms.select(*(c for c in terms.columns if c != "terms"), F.inline("terms"))
 
 
+def word_statistics(df: DataFrame, text: str = "clean_text", min_chars: int = 1) -> DataFrame:
+    """``word``, ``documents`` and ``occurrences`` over the texts of ``df``, counted in one pass; the
+    row without a word counts the documents.
+
+    Rows of disjoint parts of a corpus add up, so they are a state that merges (see ``add_batch``).
+    Tokens are exploded and tested compiled: first a null, then the distinct ones, then all.
+    """
+    words = with_computed(df.select(text), "_words", tokens(text)).select("_words")
+    words = with_computed(words, "_distinct", F.concat(F.array(F.lit(None).cast("string")), F.array_distinct("_words")))
+    rows = words.select(F.size("_distinct").alias("once"), F.posexplode(F.concat("_distinct", "_words")).alias("at", "word"))
+    kept = rows.filter(
+        F.col("word").isNull() | ((F.length("word") >= min_chars) & ~F.col("word").isin(*ENGLISH_STOPWORDS))
+    )
+    first = F.col("at") < F.col("once")
+    return kept.groupBy("word").agg(F.count_if(first).alias("documents"), F.count_if(~first).alias("occurrences"))
+
+
+def add_batch(df: DataFrame, path: str, batch: str, text: str = "clean_text", min_chars: int = 1) -> None:
+    """Count a batch of texts and keep the counts under ``path``. Reading them costs one row for each
+    of a batch's distinct words, whatever the batch's size.
+
+    A batch is known by its name: counting it again replaces its counts, so a repeated load does not
+    count twice. Batches hold different documents.
+    """
+    word_statistics(df, text, min_chars).write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+
 @dataclass(frozen=True)
 class TermStatistics:
-    """Corpus statistics of ``document_terms``, counted in one pass and kept in shared storage."""
+    """Corpus statistics of words, counted once and kept in shared storage."""
 
     words: DataFrame  # word, documents (df), occurrences
     documents: int
 
     @classmethod
-    def of(cls, terms: DataFrame) -> TermStatistics:
-        # The NULL word added to every document counts the documents in the same aggregation.
-        marker = F.array(F.struct(F.lit(None).cast("string").alias("word"), F.lit(0).cast("bigint").alias("tf")))
-        counted = (
-            terms.select(F.inline(F.concat("terms", marker)))
-            .groupBy("word")
-            .agg(F.count(F.lit(1)).alias("documents"), F.sum("tf").alias("occurrences"))
-        )
+    def of(cls, df: DataFrame, text: str = "clean_text", min_chars: int = 1) -> TermStatistics:
+        """The statistics of the texts of ``df``."""
+        return cls._kept(word_statistics(df, text, min_chars))
+
+    @classmethod
+    def merged(cls, spark: SparkSession, path: str) -> TermStatistics:
+        """The statistics of all batches under ``path``; the texts are not read."""
+        batches = spark.read.schema("word string, documents bigint, occurrences bigint").parquet(path)
+        total = batches.groupBy("word").agg(F.sum("documents").alias("documents"), F.sum("occurrences").alias("occurrences"))
+        return cls._kept(total)
+
+    @classmethod
+    def _kept(cls, counted: DataFrame) -> TermStatistics:
         table = stage(counted, "term-statistics")
         marked = table.filter(F.col("word").isNull()).first()
         return cls(table.filter(F.col("word").isNotNull()), marked["documents"] if marked else 0)
@@ -79,14 +111,17 @@ def tfidf(
     text: str = "clean_text",
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_keys: int = HOT_KEYS,
+    stats: TermStatistics | None = None,
 ) -> DataFrame:
     """``(key, word, tf, weight)`` with ``weight = tf * ln((N + 1) / (df + 1))``.
 
+    ``stats`` are the corpus statistics where they are kept already; words they lack are left out.
+
     Two passes over the text while the vocabulary can be broadcast. Beyond that a third one: words
     in very many documents are still joined by broadcast and only the rare ones are shuffled.
     """
     terms = document_terms(df, key, text)
-    stats = TermStatistics.of(terms)
+    stats = stats or TermStatistics.of(df, text)
     joined = lookup(
         term_rows(terms),
         stats.words.select("word", "documents"),

@@ -67,7 +67,7 @@ def test_document_terms(small):
 
 
 def test_documents_without_terms_count(small):
-    stats = TermStatistics.of(document_terms(small))
+    stats = TermStatistics.of(small)
     assert stats.documents == 5
     assert {r.word: (r.documents, r.occurrences) for r in stats.words.collect()}["great"] == (2, 3)
 
