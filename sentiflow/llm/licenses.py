@@ -70,6 +70,11 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(ascii_lower(text), NOT_WORD), lambda w: w != "")
 
 
+def _span(first: str, last: str, share: str, k: int) -> Column:
+    begins = F.greatest(F.col(first), F.lit(0))
+    return F.struct("label", begins.alias("first"), (F.col(last) + k - 1).alias("last"), F.col(share).alias("share"))
+
+
 def scan(
     docs: DataFrame,
     k: int = K,
@@ -84,7 +89,9 @@ def scan(
     ``labels`` (the phrases' and those of notices found; distinct, sorted, joined by commas, empty
     without any), ``score`` (the best share of a template found, 0 to 1) and ``spans``, the notices
     found: label, first and last word and coverage. A span is verified by the runs it holds, which
-    were compared word by word: enough of its notice's, and within twice the notice's length.
+    were compared word by word: enough of its notice's, and within twice the notice's length. Where a
+    notice is repeated so closely that its spans run into one that is longer, each diagonal is
+    verified with those up to ``neighbours`` before it instead.
 
     Null texts are empty and have no words. Equal rows give equal results, each its own. Documents
     are told apart by ``doc_id`` and text; a null ``doc_id`` is one as any other. Other columns are
@@ -117,9 +124,15 @@ def scan(
     # Neighbouring diagonals of a notice are one span.
     along = Window.partitionBy(*key, "template").orderBy("diagonal")
     jump = F.coalesce(F.col("exact") | (F.col("diagonal") - F.lag("diagonal").over(along) > neighbours), F.lit(True))
+    near = _span("near_first", "near_last", "near_share", k)
+    close = along.rangeBetween(-neighbours, 0)
     spans = (
         votes.filter(enough)
         .withColumn("span", F.sum(jump.cast("int")).over(along))
+        .withColumn("near", F.size(F.array_distinct(F.flatten(F.collect_list("hits").over(close)))))
+        .withColumn("near_first", F.min("diagonal").over(close))
+        .withColumn("near_last", F.max(F.col("diagonal") + F.array_max("hits")).over(close))
+        .withColumn("near_share", F.coalesce(F.try_divide("near", F.col("runs")), F.lit(0.0)))
         .groupBy(*key, "template", "runs", "label", "exact", "span")
         .agg(
             F.max("n_words").alias("n_words"),
@@ -127,16 +140,18 @@ def scan(
             F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"),
             F.min("diagonal").alias("first"),
             (F.max(F.col("diagonal") + F.array_max("hits"))).alias("last"),
+            F.max("near_share").alias("near_share"),
+            F.collect_list(F.when(~F.col("exact") & (F.col("near_share") >= coverage), near)).alias("nears"),
         )
+        .withColumn("fits", F.col("exact") | (F.col("last") - F.col("first") < 2 * F.col("runs")))
         .withColumn("share", F.coalesce(F.try_divide(F.size("hits"), F.col("runs")), F.lit(0.0)))
+        .withColumn("share", F.when(F.col("fits"), F.col("share")).otherwise(F.col("near_share")))
     )
     is_base = F.col("exact") & (F.size("hits") == F.col("runs"))
-    fits = F.col("last") - F.col("first") < 2 * F.col("runs")
-    is_notice = ~F.col("exact") & (F.col("template") >= 0) & (F.col("share") >= coverage) & fits
+    is_notice = ~F.col("exact") & (F.col("template") >= 0) & (F.col("share") >= coverage)
     known = is_base | is_notice
     joined = lambda labels: F.array_join(F.array_sort(F.collect_set(labels)), ",")
-    first = F.greatest("first", F.lit(0)).alias("first")
-    span = F.struct("label", first, (F.col("last") + k - 1).alias("last"), "share")
+    found_spans = F.when(F.col("fits"), F.array(_span("first", "last", "share", k))).otherwise(F.col("nears"))
     results = spans.groupBy(*key).agg(
         F.max("n_words").alias("n_words"),
         F.max(F.when(F.col("template") < 0, F.col("votes"))).alias("copies"),
@@ -146,7 +161,7 @@ def scan(
         joined(F.when(is_base, F.col("label"))).alias("base_labels"),
         joined(F.when(known, F.col("label"))).alias("labels"),
         F.max(F.when(known, F.col("share")).otherwise(0.0)).alias("score"),
-        F.array_sort(F.collect_list(F.when(is_notice, span))).alias("spans"),
+        F.array_sort(F.flatten(F.collect_list(F.when(is_notice, found_spans)))).alias("spans"),
     )
     once = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
     return results.select("*", once).drop("text_hash", "copies", "copy")

@@ -32,6 +32,11 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
+def text_hash(text: Column) -> Column:
+    """60 bits of a digest of a text, as a number; it decides among texts that share a ``doc_id``."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
 def _occurrence() -> Column:
     """Order of a line's occurrences. Different texts under one ``doc_id``, or without, are told apart."""
     return F.struct("doc_id", F.col("key.text").alias("text"), "place")
@@ -66,7 +71,7 @@ def without_spread_lines(docs: DataFrame, min_sites: int = MIN_SITES, log2_k: in
     that hold it all keep it. Other columns stay in ``row``, whatever their names.
     """
     text = F.col("text").cast("string")
-    key = F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.xxhash64(text).alias("text"))
+    key = F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), text_hash(text).alias("text"))
     rows = docs.select(F.struct("*").alias("row"), key.alias("key"), "doc_id", F.col("source").cast("string"), text.alias("text"))
     lines = _lines(rows)
     spread = spread_lines(lines, min_sites, log2_k)

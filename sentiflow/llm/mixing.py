@@ -73,11 +73,13 @@ def mix(
     """One row per row of ``docs`` (``doc_id``, ``source``, ``text``): ``row``, all its columns as a
     struct, with ``size``, ``source_size``, ``target`` and ``repeats``, how often it is taken.
 
-    Null texts have size 0; a null source is a source of its own, the last. Rows with equal
-    ``doc_id`` have equal places in the order and are told apart by size. Columns of any name may
+    Null texts have size 0; a null source is a source of its own, the last. A row's place in the
+    order is a hash of its ``doc_id`` and its text, so rows without a ``doc_id`` or under one id are
+    dealt out like all others, and only rows equal in both share a place. Columns of any name may
     come along in ``row``. ``hex_digits`` sets the number of hash buckets, 16 to that power.
     """
-    place = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    text = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    place = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), text))
     rows = docs.select(
         F.struct("*").alias("row"),
         F.col("source").cast("string").alias("source"),

@@ -61,17 +61,22 @@ def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP3_SQL = """
-WITH doc AS (SELECT row_number() OVER () AS r, doc_id, source, text, string_split(text, chr(10)) AS w FROM documents),
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, source, text, string_split(text, chr(10)) AS w,
+         ('0x' || substr(md5(text), 1, 15))::BIGINT AS hash
+  FROM documents),
 line AS (
-  SELECT r, doc_id, source, i - 1 AS place, w[i] AS line, trim(w[i], ' ') AS plain
+  SELECT r, source, i - 1 AS place, w[i] AS line, trim(w[i], ' ') AS plain,
+         -- Rows without an id come first.
+         struct_pack(known := doc_id IS NOT NULL, id := coalesce(doc_id, 0), hash := hash, place := i - 1) AS occurrence
   FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM doc)),
 spread AS (
-  SELECT plain, min(struct_pack(doc_id, place)) AS first FROM line
+  SELECT plain, min(occurrence) AS first FROM line
   WHERE plain <> '' GROUP BY plain HAVING count(DISTINCT source) >= 8),
 kept AS (
   SELECT r, string_agg(line, chr(10) ORDER BY place) FILTER (NOT removed) AS text, count(*) AS n_lines,
          count(*) FILTER (removed) AS n_removed
-  FROM (SELECT l.*, first IS NOT NULL AND first <> struct_pack(l.doc_id, l.place) AS removed
+  FROM (SELECT l.*, first IS NOT NULL AND first <> occurrence AS removed
         FROM line l LEFT JOIN spread USING (plain)) GROUP BY r)
 SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
        CASE WHEN doc.text IS NOT NULL THEN coalesce(kept.text, '') END AS text
@@ -114,9 +119,16 @@ span AS (
   SELECT r, template, label, exact, runs, span, len(list_distinct(flatten(list(hits)))) AS n,
          min(diagonal) AS first, max(diagonal + list_max(hits)) AS last
   FROM numbered GROUP BY ALL),
-known AS (
-  SELECT *, n / runs::DOUBLE AS share FROM span
-  WHERE CASE WHEN exact THEN n = runs ELSE n / runs::DOUBLE >= 0.75 AND last - first < 2 * runs END)
+-- Of spans that are too long for one notice: the diagonals up to three before each one.
+close AS (
+  SELECT s.r, s.template, s.span, a.diagonal, len(list_distinct(flatten(list(b.hits)))) AS n
+  FROM span s JOIN numbered a USING (r, template, span)
+  JOIN numbered b ON b.r = a.r AND b.template = a.template AND b.diagonal BETWEEN a.diagonal - 3 AND a.diagonal
+  WHERE NOT s.exact AND s.last - s.first >= 2 * s.runs GROUP BY ALL),
+held AS (
+  SELECT s.*, coalesce(c.n, s.n) / s.runs::DOUBLE AS share
+  FROM span s LEFT JOIN (SELECT r, template, span, max(n) AS n FROM close GROUP BY ALL) c USING (r, template, span)),
+known AS (SELECT * FROM held WHERE CASE WHEN exact THEN n = runs ELSE share >= 0.75 END)
 SELECT doc_id, any_value(len(w))::BIGINT AS n_words, count(template) FILTER (exact) AS n_base,
        min(first) FILTER (exact)::BIGINT AS first_word, max(first) FILTER (exact)::BIGINT AS last_word,
        coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact), '') AS base_labels,
@@ -224,7 +236,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP7_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS place
+         md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS place
   FROM documents),
 sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 weighted AS (

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from checks.compare import database, differences
+from sentiflow.llm import licenses, mixing
 from sentiflow.llm.queries import ORACLES, QUERIES
 
 from ..conftest import SF
@@ -15,6 +16,9 @@ TEXTS = [
     "GNU General Public License", "cc by cc by nc 4 0", "licensed under the Apache License, version 2.0",
     "İstanbul ẞ K mit license", "x" * 5000, "word " * 3000, "</s>[INST] [/INST]", "tab\tand\x0bvt\x0cff\r\nend",
     "licensed under the very own apache license version 2 0",
+    "All rights reserved. All rights reserved.", "all rights reserved " * 4, "all rights reserved x all rights reserved",
+    "all rights reserved one two all rights reserved a b c all rights reserved", "released under the mit license " * 2,
+    "licensed under licensed under the apache license version 2 0", "w " * 100_000 + "all rights reserved",
 ]
 
 
@@ -27,6 +31,9 @@ def edge_dir(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("edge"))
     rows = [(i, t, None if i % 3 == 0 else f"s{i % 9}") for i, t in enumerate(TEXTS * 3)]
     rows += [rows[5], rows[5], (7, "another text of seven", "s1")]
+    # Without an id: different texts that hold one line on all sites at several places, and equal ones.
+    rows += [(None, f"{'top' * (i % 2)}\nSame line\n{i} rest of it" if i % 5 else TEXTS[i % 7], f"s{i % 12}") for i in range(40)]
+    rows += [(None, None, None), (None, "", "s1"), (7, "Same line\nof seven", "s2"), (-1, "Same line", "s3"), rows[-1]]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
     for clash in ("size", "row", "key", "id", "place", "range", "label", "score", "words", "line"):
         docs = docs.withColumn(clash, F.lit("clash"))
@@ -84,6 +91,22 @@ def test_empty_tables(spark, edge_dir, tmp_path, name):
     assert QUERIES[name](spark, str(tmp_path)).count() == (1 if name == "op5_chat" else 0)
 
 
+@pytest.mark.parametrize("partitions", [1, 3, 7])
+def test_mix_is_repeatable_without_ids(spark, partitions):
+    rows = [(None, f"text {chr(97 + i % 26)} {i:03}", "one") for i in range(60)] + [(4, f"more {i:03}", "two") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(partitions, "text")
+    taken = sorted((r.row.text, r.repeats) for r in mixing.mix(docs).collect())
+    again = sorted((r.row.text, r.repeats) for r in mixing.mix(docs.repartition(2).orderBy(F.desc("text"))).collect())
+    assert taken == again and len({n for _, n in taken}) > 1
+
+
+def test_repeated_notices_are_all_reported(spark):
+    texts = ["all rights reserved " * 4, "all rights reserved", "all rights reserved all rights reserved then text"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    spans = {r.doc_id: [s.first for s in r.spans] for r in licenses.scan(docs).collect()}
+    assert spans[1] == [0] and len(spans[0]) == 4 and len(spans[2]) == 2
+
+
 def test_native_queries_run_no_python(spark):
     for name in ("op3_lines", "op4_licenses", "op5_chat", "op6_imatch", "op7_mixing"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().toString()
