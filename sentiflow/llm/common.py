@@ -25,7 +25,3 @@ def ascii_lower(text: Column) -> Column:
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
-
-def only(df: DataFrame, *names: str) -> DataFrame:
-    """The named columns. Other columns of the input, whatever they are called, play no part."""
-    return df.select(*names)

@@ -6,8 +6,8 @@ union are the larger ones of both, and two sets agree in a register about as oft
 
 1. Equal texts are one class. Each class is sketched; bands of registers are bucket keys.
 2. Within a bucket, pairs whose likelihood estimate is well below the threshold are ruled out; what is
-   left links classes to families. Bands and this margin together miss a link of 0.8 with a chance of
-   about 1 in 10 million.
+   left links classes to families. Bands miss a pair of similarity 0.8 with a chance of about 5e-8 and
+   the margin one with about 2e-7 (77 of 128 registers or fewer agree): 1 in 4 million together.
 3. Families are verified on full sets, and the links found make components.
 
 Neither step lists pairs: see ``groups``.
@@ -31,7 +31,7 @@ REGISTERS = 128
 BANDS = 32
 BASE = 1.02
 #: A pair stays a candidate unless its estimate is below the threshold by this much.
-MARGIN = 0.15
+MARGIN = 0.2
 #: Rows of a bucket, and set elements of a family, that two blocks hold at most.
 BUCKET_ROWS = 4096
 FAMILY_ELEMENTS = 2_000_000
@@ -224,21 +224,6 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     )
 
 
-def without_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with all columns, one document of each component: that with its smallest ``doc_id``.
-
-    A document stands for its rows: should the one that stays be there repeatedly, all its rows stay,
-    as do all documents without words; ``one_of_each`` keeps one row.
-    """
-    found = near_duplicates(docs.select("doc_id", "text"), k, percent)
-    number = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(""))
-    key = F.struct(number("doc_id").alias("doc_id"), F.col("id"))
-    dropped = found.filter(~F.col("kept")).select(key.alias("key"), F.lit(True).alias("dropped")).distinct()
-    id_ = F.md5(F.array_join(words_of(text_or_empty()), " "))
-    rows = docs.select(F.struct("*").alias("row"), F.struct(number("doc_id").alias("doc_id"), id_.alias("id")).alias("key"))
-    return lookup(rows, stage(dropped, "near-duplicates"), "key", "left").filter("dropped is null").select("row.*")
-
-
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with all columns, exactly one row of each component and all rows without words.
 

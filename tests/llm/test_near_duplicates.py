@@ -63,9 +63,6 @@ def test_null_and_repeated_ids(spark):
     got = sorted(map(str, ((r.doc_id, r.component_id, r.kept) for r in setsketch.near_duplicates(docs).collect())))
     assert got == sorted(map(str, [(None, 3, False), (3, 3, True), (3, 3, True), (None, None, True), (7, 7, True)]))
     assert setsketch.near_duplicates(docs.filter("false")).count() == 0
-    kept = setsketch.without_near_duplicates(docs)
-    assert kept.columns == docs.columns
-    assert sorted(map(str, (r.doc_id for r in kept.collect()))) == ["3", "3", "7", "None"]
 
 
 def test_pipeline_keeps_one_row_of_each_group(spark):
