@@ -354,12 +354,19 @@ FROM (SELECT review_id, label, count(*) OVER (PARTITION BY label) AS n,
              row_number() OVER (PARTITION BY label ORDER BY {_SPLIT_HASH}, review_id) AS place
       FROM cleaned)"""
     ),
-    "documents_roundtrip": _over_reviews(
-        'SELECT review_id, "Rating", clean_text, label FROM cleaned'
-    ),
+    "documents_roundtrip": _over_reviews(f"SELECT {_REVIEW_COLUMNS}, clean_text, label FROM cleaned"),
+    "documents_replaced": _over_reviews(f"SELECT {_REVIEW_COLUMNS}, clean_text, label FROM cleaned"),
     "document_records": _over_reviews(
-        """SELECT '{"review_id":' || CAST(review_id AS VARCHAR) || ',"Rating":'
-       || coalesce('"' || "Rating" || '"', 'null') || '}' AS document FROM reviews"""
+        f"SELECT {_REVIEW_COLUMNS}, 'review_id,Reviews,Rating,Product Name,Brand Name,Price' AS fields FROM reviews"
+    ),
+    "stratified_split_appended": _over_reviews(
+        f"""SELECT c.review_id, c.label,
+       CASE WHEN struct_pack(h := {_SPLIT_HASH.replace('review_id', 'c.review_id')}, k := c.review_id) <= last THEN 'test' ELSE 'train' END AS split
+FROM cleaned c JOIN (
+  SELECT label, struct_pack(h := h, k := review_id) AS last FROM (
+    SELECT label, review_id, {_SPLIT_HASH} AS h, count(*) OVER (PARTITION BY label) AS n,
+           row_number() OVER (PARTITION BY label ORDER BY {_SPLIT_HASH}, review_id) AS place
+    FROM cleaned WHERE review_id % 3 <> 0) WHERE place = ceil(n * 0.2)) t ON t.label = c.label"""
     ),
 }
 

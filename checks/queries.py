@@ -283,6 +283,13 @@ def stratified_split_any_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.with_stratified_split(labels)
 
 
+def stratified_split_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All reviews by the thresholds that two thirds of them have set."""
+    reviews = stage(tables.cleaned(spark, sf_dir).select("review_id", "label"), "labels")
+    fitted = stage(ops.split_thresholds(reviews.filter(F.col("review_id") % 3 != 0)), "thresholds")
+    return ops.with_fitted_split(reviews, fitted)
+
+
 def csv_ingest_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews without a key, as CSV, ingested and split; the key is made from the content."""
     path = scratch_path(spark, "keyless-csv")
@@ -426,14 +433,23 @@ def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def documents_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "documents")
     export_reviews(tables.reviews(spark, sf_dir), options={"path": path})
-    schema = "review_id bigint, Rating string, clean_text string, label double"
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(tables.cleaned(spark, sf_dir).schema).json(path)
+
+
+def documents_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A collection that was of other documents before."""
+    path, reviews = scratch_path(spark, "collection"), tables.cleaned(spark, sf_dir)
+    sinks.replace_collection(reviews.filter("label = 0"), path)
+    sinks.replace_collection(reviews, path)
+    return sinks.read_collection(spark, path, reviews.schema)
 
 
 def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows as JSON records; a NULL rating stays in the record."""
-    rows = tables.reviews(spark, sf_dir).select("review_id", "Rating")
-    return sinks.to_documents(rows)
+    """Rows as JSON records, read back with the names of their fields; NULL ones stay in the record."""
+    rows = tables.reviews(spark, sf_dir)
+    records = sinks.to_documents(rows)
+    names = F.array_join(F.json_object_keys("document"), ",").alias("fields")
+    return records.select(F.from_json("document", rows.schema).alias("row"), names).select("row.*", "fields")
 
 
 def full_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -518,6 +534,7 @@ QUERIES = {
     "hash_split": hash_split,
     "stratified_split": stratified_split,
     "stratified_split_any_label": stratified_split_any_label,
+    "stratified_split_appended": stratified_split_appended,
     "csv_ingest_split": csv_ingest_split,
     "csv_rejects": csv_rejects,
     "fit_vocab_terms": fit_vocab_terms,
@@ -532,6 +549,7 @@ QUERIES = {
     "stream_rejects": stream_rejects,
     "publish_roundtrip": publish_roundtrip,
     "documents_roundtrip": documents_roundtrip,
+    "documents_replaced": documents_replaced,
     "document_records": document_records,
     "full_analysis": full_analysis,
     "scored_request_rows": scored_request_rows,

@@ -37,8 +37,10 @@ from .prepare import (
 )
 from .split import (
     hash_split,
+    split_thresholds,
     stratified_split,
     train_and_test,
+    with_fitted_split,
     with_hash_split,
     with_stratified_split,
 )

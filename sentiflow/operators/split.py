@@ -42,9 +42,46 @@ def with_stratified_split(
     Classes are the labels that occur, whatever they are; rows without a label are one class. Keys
     that occur repeatedly go to one side together.
     """
+    last = split_thresholds(df, label, key, train, seed)
+    return with_fitted_split(df, last, label, key, train, seed)
+
+
+def split_thresholds(
+    df: DataFrame,
+    label: str = "label",
+    key: str = "review_id",
+    train: float = TRAIN_SHARE,
+    seed: int = SEED,
+) -> DataFrame:
+    """Where the test rows of each class of ``df`` end: ``class`` and ``last``, the hash and key of the
+    last one. One row for each class.
+
+    Stored, they split later rows as well (``with_fitted_split``): a row's side depends on its own
+    class and key alone, so nothing that is added moves a row that is there.
+    """
     share = round(1 - train, 10)
-    picked = _lowest_by_hash(df, label, key, seed, lambda n: F.ceil(F.round(n * F.lit(share), 6)))
-    return picked.withColumn("split", F.when(F.col("_picked"), "test").otherwise("train")).drop("_picked")
+    return _last_by_hash(df, label, key, seed, lambda n: F.ceil(F.round(n * F.lit(share), 6)))
+
+
+def with_fitted_split(
+    df: DataFrame,
+    thresholds: DataFrame,
+    label: str = "label",
+    key: str = "review_id",
+    train: float = TRAIN_SHARE,
+    seed: int = SEED,
+) -> DataFrame:
+    """Add ``split`` by the ``split_thresholds`` of a first batch, with its ``key`` and ``seed``.
+
+    The first batch gets exactly its quotas, and later rows of its classes close to that share. Rows
+    of classes it did not have go by the hash alone, as in ``with_hash_split``. ``df`` is not shuffled.
+    """
+    here = F.struct(key_hash(key, seed).alias("_hash"), F.col(key).alias("_key"))
+    known = F.broadcast(thresholds.select(F.col("class").alias("_of"), F.col("last").alias("_last"), F.lit(True).alias("_known")))
+    by_hash = leading_bits(key_hash(key, seed), 8) % _STEPS >= round(train * _STEPS)
+    test = F.when(F.col("_known"), here <= F.col("_last")).otherwise(by_hash)
+    joined = df.join(known, F.col(label).eqNullSafe(F.col("_of")), "left")
+    return joined.withColumn("split", F.when(test, "test").otherwise("train")).select(*(F.col(f"`{c}`") for c in df.columns), "split")
 
 
 def stratified_split(
@@ -66,15 +103,15 @@ def train_and_test(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def _lowest_by_hash(
+def _last_by_hash(
     df: DataFrame, label: str, key: str, seed: int, quota: Callable[[Column], Column]
 ) -> DataFrame:
-    """Flag in ``_picked`` the ``quota(n)`` rows of each class with the lowest hash.
+    """The last of the ``quota(n)`` rows of each class with the lowest hash: ``class`` and ``last``.
 
     Ranking a whole class would put it in one task. Instead a histogram of the leading hash digits
     finds the bucket in which each class reaches its quota, and only the rows of that bucket, one
-    65,536th of the class, are ranked. The two tables joined back have one row per class id, and
-    ``df`` itself is never shuffled.
+    65,536th of the class, are ranked. The table joined back has one row per class id, and ``df``
+    itself is never shuffled.
     """
     keyed = df.select(
         F.col(label).alias("_class"), F.col(key).alias("_key"), key_hash(key, seed).alias("_hash")
@@ -98,16 +135,9 @@ def _lowest_by_hash(
     )
 
     rank = F.row_number().over(whole.orderBy("_hash", "_key"))
-    last = (
+    return (
         keyed.join(F.broadcast(edge), F.col("_class").eqNullSafe(F.col("_of")) & (F.col("_bucket") == F.col("_in")))
         .withColumn("_rank", rank)
         .filter(F.col("_rank") == F.col("_left"))
-        .select("_of", F.struct("_hash", "_key").alias("_last"))
-    )
-    here = F.struct(key_hash(key, seed).alias("_hash"), F.col(key).alias("_key"))
-    return (
-        df.join(F.broadcast(last), F.col(label).eqNullSafe(F.col("_of")), "left")
-        .withColumn("_picked", F.coalesce(here <= F.col("_last"), F.lit(False)))
-        .drop("_last")
-        .select(*df.columns, "_picked")
+        .select(F.col("_of").alias("class"), F.struct("_hash", "_key").alias("last"))
     )

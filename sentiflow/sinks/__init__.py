@@ -1,3 +1,4 @@
+from .collections import read_collection, replace_collection, versions
 from .documents import to_documents, write_documents
 from .metrics_log import latest_metrics, read_metrics, write_metrics
 from .publish import publish
@@ -5,8 +6,11 @@ from .publish import publish
 __all__ = [
     "latest_metrics",
     "publish",
+    "read_collection",
     "read_metrics",
+    "replace_collection",
     "to_documents",
+    "versions",
     "write_documents",
     "write_metrics",
 ]

@@ -9,7 +9,7 @@ from .reviews import (
     read_reviews_csv,
     with_content_key,
 )
-from .storage import remove, scratch_path, shared_dir, stage
+from .storage import names_in, remove, scratch_path, shared_dir, stage
 
 __all__ = [
     "CORRUPT",
@@ -17,6 +17,7 @@ __all__ = [
     "class_dim",
     "corrupt_rows",
     "ingest_reviews_csv",
+    "names_in",
     "read_csv_ranges",
     "read_reviews",
     "read_reviews_csv",

@@ -41,6 +41,13 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), under: s
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none where there is no such folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in system.listStatus(folder)) if system.exists(folder) else []
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete what was staged under a ``scratch_path``."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
