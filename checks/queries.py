@@ -83,6 +83,13 @@ def review_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Projections and filters
 
 
+def review_funnel_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counts, taken by the job that writes the cleaned reviews."""
+    rows, counts = ops.observed_cleaning(tables.reviews(spark, sf_dir))
+    stage(rows, "observed")
+    return ops.observed_row(spark, counts)
+
+
 def project_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.project_reviews(tables.reviews(spark, sf_dir))
 
@@ -419,9 +426,21 @@ def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     results |= {f"top_{n.lower()}_words": top.filter(F.col("label") == c).select("word", "count") for c, n in SENTIMENTS.items()}
     sinks.publish(results, out, "run", latest=True)
+    return _long({name: spark.read.schema(t.schema).csv(f"{out}/latest/{name}", header=True) for name, t in results.items()})
+
+
+def publish_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The set that counts after a run over a part of the reviews and one over all of them."""
+    out = scratch_path(spark, "published")
+    reviews = tables.cleaned(spark, sf_dir)
+    for run_id, part in (("part", reviews.filter("label = 2")), ("all", reviews)):
+        sinks.publish({"class_distribution": ops.class_distribution(part).select("sentiment", "count")}, out, run_id)
+    return _long(sinks.read_published(spark, out))
+
+
+def _long(published: dict[str, DataFrame]) -> DataFrame:
     long = None
-    for name, table in results.items():
-        back = spark.read.schema(table.schema).csv(f"{out}/latest/{name}", header=True)
+    for name, back in published.items():
         first, *rest = back.columns
         values = back.withColumn("row", F.col(first).cast("string")).select(
             F.lit(name).alias("table"), "row", F.inline(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in rest)))
@@ -452,6 +471,11 @@ def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(F.from_json("document", rows.schema).alias("row"), names).select("row.*", "fields")
 
 
+def variant_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed documents, written and read back by the fields found in them."""
+    return sinks.from_variant_documents(stage(sinks.to_variant_documents(tables.reviews(spark, sf_dir)), "typed"))
+
+
 def full_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(analyse(tables.reviews(spark, sf_dir)).report, "precision", "recall", "f1")
 
@@ -495,6 +519,7 @@ QUERIES = {
     "columnar_roundtrip": columnar_roundtrip,
     "class_dimension": class_dimension,
     "review_funnel": review_funnel,
+    "review_funnel_observed": review_funnel_observed,
     "project_reviews": project_reviews,
     "drop_missing": drop_missing,
     "valid_rating": valid_rating,
@@ -548,6 +573,8 @@ QUERIES = {
     "score_stream": score_stream,
     "stream_rejects": stream_rejects,
     "publish_roundtrip": publish_roundtrip,
+    "publish_replaced": publish_replaced,
+    "variant_documents": variant_documents,
     "documents_roundtrip": documents_roundtrip,
     "documents_replaced": documents_replaced,
     "document_records": document_records,

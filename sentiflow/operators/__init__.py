@@ -23,6 +23,7 @@ from .models import (
     vocab_features,
     vocab_tfidf,
 )
+from .observed import FUNNEL, REQUESTS, observed_cleaning, observed_requests, observed_row
 from .prepare import (
     clean_reviews,
     drop_missing,

@@ -20,7 +20,7 @@ from ..operators.evaluate import (
 )
 from ..operators.keywords import keywords_top
 from ..operators.models import fit_hashing, predict
-from ..operators.prepare import clean_reviews
+from ..operators.observed import observed_cleaning, observed_row
 from ..operators.split import train_and_test, with_hash_split, with_stratified_split
 from ..operators.summary import sample_predictions, top_words
 from ..sinks.publish import publish
@@ -43,6 +43,7 @@ class Analysis:
     top_words: DataFrame
     samples: DataFrame
     folder: str  # of everything staged
+    funnel: DataFrame  # rows left after each cleaning step, counted while the reviews were written
 
     def close(self) -> None:
         """Remove what was staged. The model stays; all tables of the result go."""
@@ -95,7 +96,8 @@ def analyse(
     top words are keywords, otherwise plain words without stop words.
     """
     folder = scratch_path(reviews.sparkSession, "analysis")
-    texts = clean_reviews(reviews, mode).select(key, "clean_text", "label")
+    observed, counted = observed_cleaning(reviews, mode)
+    texts = observed.select(key, "clean_text", "label")
     if stratified:
         texts = stage(texts, "texts", under=folder)
         texts = with_stratified_split(texts, "label", key, train_share, seed)
@@ -121,4 +123,5 @@ def analyse(
         top_words=stage(words, "words", under=folder),
         samples=stage(sample_predictions(predictions, sample_n, key), "samples", under=folder),
         folder=folder,
+        funnel=observed_row(reviews.sparkSession, counted),
     )
