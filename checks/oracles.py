@@ -211,6 +211,7 @@ test AS (SELECT * FROM cleaned WHERE ('0x' || substr({_SPLIT_HASH}, 1, 8))::BIGI
     "csv_roundtrip": _ALL_REVIEWS,
     "csv_split_roundtrip": _ALL_REVIEWS,
     "variant_documents": _ALL_REVIEWS,
+    "csv_folder_roundtrip": _ALL_REVIEWS,
     "columnar_roundtrip": _ALL_REVIEWS,
     "project_reviews": _ALL_REVIEWS,
     "class_dimension": _over_reviews(
@@ -451,6 +452,8 @@ FROM (SELECT * FROM predictions ORDER BY review_id LIMIT 50) s,
 
 ORACLES |= {
     "review_funnel_observed": ORACLES["review_funnel"],
+    "stream_batch_log": f"""WITH {_REQUESTS}
+SELECT count(*) AS requests, count(*) FILTER (clean_text = '') AS rejected, count(*) AS rows_by_newest FROM cleaned_requests""",
     "publish_replaced": _over_reviews(
         """SELECT 'class_distribution' AS "table", c.sentiment AS "row", 'count' AS "column", CAST(count(r.review_id) AS VARCHAR) AS value
 FROM classes c LEFT JOIN cleaned r ON r.label = c.label GROUP BY c.sentiment""",

@@ -25,12 +25,13 @@ from sentiflow.sources import (
     class_dim,
     corrupt_rows,
     ingest_reviews_csv,
+    read_review_files,
     read_reviews,
     read_reviews_csv,
     scratch_path,
     stage,
 )
-from sentiflow.streaming import start_scoring
+from sentiflow.streaming import add_model_version, read_batch_log, read_scored, start_scoring, start_versioned_scoring
 
 from . import tables
 
@@ -64,6 +65,27 @@ def csv_split_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.project_reviews(read_reviews(spark, table)).withColumn("review_id", F.col("review_id").cast("bigint"))
 
 
+def csv_folder_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through a folder whose files have two column orders and two encodings, among files of
+    another encoding and files without a column, which hold all reviews once more and give no row."""
+    reviews, folder = tables.reviews(spark, sf_dir), scratch_path(spark, "reviews-folder")
+    third, backwards = F.col("review_id") % 3, reversed(reviews.columns)
+    accented = reviews.withColumn("Brand Name", F.lit("\u00e9"))
+    parts = [
+        (reviews.filter(third == 0), "UTF-8"),
+        (reviews.filter(third == 1).select(*(F.col(f"`{c}`") for c in backwards)), "UTF-8"),
+        (reviews.filter(third == 2), "UTF-16"),
+        (accented, "ISO-8859-1"),
+        (reviews.drop("Price"), "UTF-8"),
+    ]
+    for n, (part, encoding) in enumerate(parts):
+        part.write.options(
+            header=True, quote='"', escape='"', encoding=encoding, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        ).csv(f"{folder}/{n}")
+    found, _ = read_review_files(spark, [f"{folder}/{n}" for n in range(len(parts))])
+    return ops.project_reviews(found).withColumn("review_id", F.col("review_id").cast("bigint"))
+
+
 def columnar_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "reviews-orc")
     tables.reviews(spark, sf_dir).write.orc(path)
@@ -411,6 +433,20 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.select("request_id", "text", "clean_text", "error")
 
 
+def stream_batch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests and rejects by the log of a stream that takes the newest of two models, and the rows and
+    models found in what it has written."""
+    train, _ = _training_split(spark, sf_dir)
+    model, models, out = ops.fit_hashing(train), scratch_path(spark, "models"), scratch_path(spark, "stream")
+    names = [add_model_version(model, models, spark) for _ in range(2)]
+    requests = tables.request_stream(spark, sf_dir)
+    start_versioned_scoring(models, requests, out, scratch_path(spark, "stream-checkpoint")).awaitTermination()
+    newest = F.count_if(F.col("model_version") == names[-1]).alias("rows_by_newest")
+    rows = read_scored(spark, out).groupBy("batch_id").agg(newest)
+    total = [F.sum(c).alias(c) for c in ("requests", "rejected", "rows_by_newest")]
+    return read_batch_log(spark, out).join(rows, "batch_id", "full").agg(*total)
+
+
 # Sinks and whole runs
 
 
@@ -516,6 +552,7 @@ def full_analysis_support(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "csv_roundtrip": csv_roundtrip,
     "csv_split_roundtrip": csv_split_roundtrip,
+    "csv_folder_roundtrip": csv_folder_roundtrip,
     "columnar_roundtrip": columnar_roundtrip,
     "class_dimension": class_dimension,
     "review_funnel": review_funnel,
@@ -572,6 +609,7 @@ QUERIES = {
     "score_saved_model": score_saved_model,
     "score_stream": score_stream,
     "stream_rejects": stream_rejects,
+    "stream_batch_log": stream_batch_log,
     "publish_roundtrip": publish_roundtrip,
     "publish_replaced": publish_replaced,
     "variant_documents": variant_documents,
