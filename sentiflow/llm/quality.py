@@ -96,16 +96,19 @@ class Model:
 
     def vectorise(self, texts) -> np.ndarray:
         counts = np.stack([term_counts(text) for text in texts])
-        return _unit(_weights(counts) @ self.projection)
+        return _unit(_weights(counts).astype(np.float64) @ self.projection)
 
     def score(self, texts) -> np.ndarray:
         """Share of label 1 among the neighbours' votes; without any vote, 0.5."""
         if not len(self.labels):
             return np.full(len(texts), 0.5)
-        similar = self.vectorise(texts) @ self.vectors.T
+        # Cosines in steps of 2**-40, far above the error of the products: equal neighbours are equal
+        # whatever block they are computed in, and the one fitted first comes first.
+        steps = np.rint(self.vectorise(texts) @ self.vectors.T * 2.0**40).astype(np.int64)
         n = min(self.neighbours, len(self.labels))
-        nearest = np.argpartition(-similar, n - 1, axis=1)[:, :n]
-        votes = np.maximum(np.take_along_axis(similar, nearest, 1), 0).astype(np.float64) ** SHARPNESS
+        place = steps * len(self.labels) - np.arange(len(self.labels))
+        nearest = np.sort(np.argpartition(-place, n - 1, axis=1)[:, :n], axis=1)
+        votes = np.maximum(np.take_along_axis(steps, nearest, 1) / 2.0**40, 0) ** SHARPNESS
         total = votes.sum(1)
         return np.where(total > 0, (votes * self.labels[nearest]).sum(1) / np.maximum(total, 1e-300), 0.5)
 
@@ -141,15 +144,15 @@ def fit(
     kept = np.concatenate([np.flatnonzero(y == label)[:fewest] for label in (0, 1)]).astype(int)
     x, y = x[kept], y[kept]
     if not len(y):
-        return Model(np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), y, neighbours)
+        return Model(np.zeros((TERMS, 1)), np.zeros((0, 1)), y, neighbours)
     idf = np.log((1 + len(x)) / (1 + (x > 0).sum(0))) + 0.1
     weighted = _unit(x * idf).astype(np.float64)
     values, left = np.linalg.eigh(weighted @ weighted.T)  # singular vectors of the sample
     lead = np.argsort(-values)[:dimensions]
     lead = lead[values[lead] > 1e-9]
     latent = weighted.T @ left[:, lead] / np.sqrt(values[lead])
-    projection = (idf[:, None] * latent).astype(np.float32)
-    return Model(projection, _unit(x @ projection).astype(np.float32), y, neighbours)
+    projection = idf[:, None] * latent
+    return Model(projection, _unit(x.astype(np.float64) @ projection), y, neighbours)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> Column:
