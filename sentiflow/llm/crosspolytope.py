@@ -21,14 +21,14 @@ from pyspark.sql import functions as F
 
 from ..operators.lookup import lookup
 from ..sources.storage import stage
-from .groups import EDGES, by_group, components, edge_table, forest, in_blocks
+from .groups import by_group, components, edge_table, forest, in_blocks, links_within
 
 TABLES = 12
 #: Hashes in a key, and keys of a vector in each table: its own, and one for each of its hashes with
 #: the next best coordinate, as many as there are.
 HASHES = 2
 THRESHOLD = 0.98
-#: Rows that two blocks of a bucket or component hold at most.
+#: Rows of a bucket or component that are compared in one task at most.
 BLOCK_ROWS = 4096
 ROWS = 4096
 SEED = 7
@@ -213,14 +213,18 @@ def near_duplicates(
     kind = classes.schema["label"].dataType.simpleString()
     keyed = classes.select("id", "label", "unit").mapInArrow(key_task, f"id string, label {kind}, keys array<bigint>")
     held = keyed.select("id", "label", F.explode(F.array_distinct("keys")).alias("key"))
-    members = in_blocks(held.select("id", F.xxhash64("label", "key").alias("g")), F.lit(1), BLOCK_ROWS // 2)
-    by_key = members.join(classes.select("id", "unit", "label"), "id")
-    # Rows of one group have one length of vectors and one label, whatever keys collide.
-    apart = by_key.withColumn("g", F.xxhash64("g", "label", F.size("unit"))).drop("label")
-    found = components(by_group(apart, _edges(threshold), EDGES)).withColumnRenamed("node", "id")
+    members = held.select("id", F.xxhash64("label", "key").alias("g"))
+
+    def with_vectors(rows: DataFrame) -> DataFrame:
+        # Rows of one group have one length of vectors and one label, whatever keys collide.
+        full = rows.join(classes.select("id", "unit", "label"), "id")
+        return full.withColumn("g", F.xxhash64("g", "label", F.size("unit"))).drop("label")
+
+    edges = links_within(members, F.lit(1), BLOCK_ROWS, _edges(threshold), with_vectors)
+    found = components(edges).withColumnRenamed("node", "id")
 
     together = classes.join(found, "id").withColumn("g", F.xxhash64("root"))
-    blocks = in_blocks(together, F.lit(1), BLOCK_ROWS // 2, with_block=True)
+    blocks = in_blocks(together, F.lit(1), BLOCK_ROWS // 2)
     counted = by_group(blocks.select("g", "i", "j", "block", "id", "unit", "rows"), _counts(threshold), "id string, links bigint")
     links = counted.groupBy("id").agg(F.sum("links").alias("links"))
     known = classes.select("id", "rows").join(found, "id", "left").join(links, "id", "left")

@@ -1,8 +1,7 @@
 """Work within groups of candidates, and the components their links make.
 
-Groups of any size are cut into blocks; two blocks of a group meet in exactly one task, so a task has
-a bounded number of rows while all rows of a group are compared. Tasks return the edges of a spanning
-forest, at most one per row, never all pairs. Components are then found by contraction.
+Groups of any size are cut into pieces, so a task has a bounded number of rows. Tasks return the edges
+of a spanning forest, at most one per row, never all pairs. Components are then found by contraction.
 """
 
 from __future__ import annotations
@@ -12,34 +11,93 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.lookup import lookup
 from ..sources.storage import stage
 
 EDGES = "a string, b string"
-
-
-def in_blocks(rows: DataFrame, weight: Column, limit: int, with_block: bool = False) -> DataFrame:
-    """``rows`` (with ``g``, the group, and ``id``) and ``i``, ``j``: the pair of blocks they meet in.
-
-    A group whose weights sum to more than ``limit`` has several blocks, and its rows are repeated
-    once for each other block; all others are in one piece. Groups of one row are dropped.
-
-    ``with_block`` keeps ``block``, each row's own, and lets blocks also meet themselves, for work
-    that has to see each pair once.
+#: Rows of a group above the limit that are in each of its pieces.
+PIVOTS = 16
+
+
+def by_size(rows: DataFrame, weight: Column, limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """``rows`` (``g``, the group, ``id`` and others) of groups whose weights sum to ``limit`` at most,
+    with ``i`` and ``j`` 0, and rows of larger groups, with ``blocks``: how many pieces of half the
+    limit they make. Groups of one row are dropped; None where no group is larger."""
+    sums = rows.groupBy("g").agg(F.count(F.lit(1)).alias("rows"), F.sum(weight).alias("weight"))
+    sums = stage(sums.filter("rows > 1").select("g", "weight"), "group-sizes")
+    small = sums.filter(F.col("weight") <= limit).select("g", F.lit(0).alias("i"), F.lit(0).alias("j"))
+    large = sums.filter(F.col("weight") > limit)
+    if large.isEmpty():
+        return rows.join(small, "g"), None
+    told = lookup(rows, large.select("g", F.ceil(F.col("weight") * 2 / limit).cast("int").alias("blocks")), "g", "left")
+    return told.filter("blocks is null").drop("blocks").join(small, "g"), told.filter("blocks is not null")
+
+
+def links_within(
+    rows: DataFrame,
+    weight: Column,
+    limit: int,
+    work: Callable[[pa.Table, np.ndarray], pa.Table],
+    attach: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
+    """Edges between the ids of linked ``rows`` (``g``, the group, ``id`` and others) of a group, which
+    join all that its links join. ``work`` finds them in whole pieces; ``attach`` adds what it needs.
+
+    A group above ``limit`` is cut into pieces. A few of its rows are in every piece, so that rows that
+    are much alike become one component in one pass. Then only the rows outside the group's largest
+    component meet all pieces: pairs within that component need no comparison. Where those rows fit
+    half the limit, no more than twice the group's rows are shuffled; beyond that they are cut as well,
+    and the rows grow with the product of both numbers of pieces.
+    """
+    small, large = by_size(rows, weight, limit)
+    found = by_group(attach(small), work, EDGES)
+    if large is None:
+        return found
+    piece = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    pieces = F.sequence(F.lit(0), F.col("blocks") - 1)
+    shuffled = Window.partitionBy("g").orderBy(F.xxhash64(F.lit("pivot"), "id"), "id")
+    pivots = large.withColumn("place", F.row_number().over(shuffled)).filter(F.col("place") <= PIVOTS).drop("place")
+    others = pivots.withColumn("i", F.explode(F.filter(pieces, lambda k: k != piece)))
+    visits = large.withColumn("i", piece).unionByName(others).withColumn("j", F.lit(-1)).drop("blocks")
+    first = stage(by_group(attach(visits), work, EDGES), "piece-edges")
+
+    roots = components(first).withColumnRenamed("node", "id")
+    rooted = lookup(large, roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    parts = rooted.groupBy("g", "root").agg(F.sum(weight).alias("weight"))
+    left = parts.groupBy("g").agg(F.max(F.struct("weight", "root")).alias("main"), F.sum("weight").alias("weight"))
+    left = left.select("g", F.col("main.root").alias("main"), (F.col("weight") - F.col("main.weight")).alias("rest"))
+    left = left.filter("rest > 0").select("g", "main", F.ceil(F.col("rest") * 2 / limit).cast("int").alias("rests"))
+    left = stage(left, "groups-left")
+    if left.isEmpty():
+        return found.unionByName(first)
+    rest = F.pmod(F.xxhash64(F.lit("rest"), "id"), F.col("rests")).cast("int")
+    cell = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    met = F.transform(F.sequence(F.lit(0), F.col("rests") - 1), lambda r: cell(r, piece))
+    asked = F.when(F.col("root") != F.col("main"), F.transform(pieces, lambda k: cell(rest, k)))
+    cells = F.array_union(met, F.coalesce(asked, F.slice(met, 1, 0)))
+    meetings = lookup(rooted, left, "g").withColumn("cell", F.explode(cells))
+    meetings = meetings.withColumn("i", F.col("cell.i")).withColumn("j", F.col("cell.j"))
+    meetings = meetings.drop("cell", "blocks", "rests", "root", "main")
+    return found.unionByName(first).unionByName(by_group(attach(meetings), work, EDGES))
+
+
+def in_blocks(rows: DataFrame, weight: Column, limit: int) -> DataFrame:
+    """``rows`` (``g``, the group, ``id`` and others), ``block``, each row's own, and ``i``, ``j``: the
+    pair of blocks they meet in, for work that has to see each pair of a group once.
+
+    A group whose weights sum to more than ``limit`` has several blocks, which meet each other and
+    themselves: its rows are repeated once for each block. Groups of one row are dropped.
     """
     sums = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.sum(weight).alias("weight"))
     sizes = sums.filter("n > 1").select("g", F.ceil(F.col("weight") / limit).cast("int").alias("blocks"))
-    cut = rows.join(sizes, "g")
-    block = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).otherwise(0)
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    others = every if with_block else F.filter(every, lambda k: k != F.col("block"))
-    mates = F.when(F.col("blocks") > 1, others).otherwise(F.array(F.lit(0)))
-    met = cut.withColumn("block", block).withColumn("mate", F.explode(mates))
+    cut = lookup(rows, stage(sizes, "group-sizes"), "g")
+    cut = cut.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    met = cut.withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.withColumn("i", F.least("block", "mate")).withColumn("j", F.greatest("block", "mate"))
-    return met.drop("blocks", "mate", *([] if with_block else ["block"]))
+    return met.drop("blocks", "mate")
 
 
 def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:

@@ -8,9 +8,12 @@ union are the larger ones of both, and two sets agree in a register about as oft
 2. Within a bucket, pairs whose likelihood estimate is well below the threshold are ruled out; what is
    left links classes to families. Bands miss a pair of similarity 0.8 with a chance of about 5e-8 and
    the margin one with about 2e-7 (77 of 128 registers or fewer agree): 1 in 4 million together.
-3. Families are verified on full sets, and the links found make components.
+   A bucket of very many classes is not searched: all of its classes are candidates.
+3. A family of very many elements is split to parts whose sets share one of their rarest shingles, as
+   any two sets must that are similar enough (prefix filtering); this loses no link.
+4. Families are verified on full sets, and the links found make components.
 
-Neither step lists pairs: see ``groups``.
+No step lists pairs: see ``groups``.
 """
 
 from __future__ import annotations
@@ -25,14 +28,14 @@ from pyspark.sql import functions as F
 from ..operators.lookup import lookup
 from ..sources.storage import stage
 from .common import SPACED_WORD, ascii_lower, text_or_empty
-from .groups import EDGES, by_group, components, edge_table, forest, in_blocks
+from .groups import EDGES, by_group, by_size, components, edge_table, forest, links_within
 
 REGISTERS = 128
 BANDS = 32
 BASE = 1.02
 #: A pair stays a candidate unless its estimate is below the threshold by this much.
 MARGIN = 0.2
-#: Rows of a bucket, and set elements of a family, that two blocks hold at most.
+#: Rows of a bucket, and set elements of a family, that are compared in one task at most.
 BUCKET_ROWS = 4096
 FAMILY_ELEMENTS = 2_000_000
 SKETCH_ELEMENTS = 100_000
@@ -170,6 +173,39 @@ def _family_edges(percent: int):
     return work
 
 
+def _hub(name: str) -> Column:
+    """A node that stands for a number, larger than all ids of classes."""
+    return F.concat(F.lit("~"), F.col(name).cast("string"))
+
+
+def _parts(sets: DataFrame, percent: int, limit: int) -> DataFrame:
+    """``sets`` (``id``, ``g``, the family, ``shingles`` and ``n``, their number), with families of more
+    than ``limit`` elements split.
+
+    A set's shingles are ordered by how many sets of the family have them. Two sets of which 100 times
+    the common shingles are ``percent`` times the larger one's have one in common among the first
+    ``n - ceil(percent * n / 100) + 1`` of each. Parts are the components of sharing such a shingle;
+    sets that share none are linked with nothing and dropped.
+    """
+    sums = sets.groupBy("g").agg(F.sum("n").alias("weight"), F.lit(True).alias("large"))
+    large = stage(sums.filter(F.col("weight") > limit).select("g", "large"), "large-families")
+    if large.isEmpty():
+        return sets
+    told = lookup(sets, large, "g", "left")
+    rows = told.filter("large").drop("large")
+    elements = rows.select("id", "n", "g", F.explode("shingles").alias("s")).select("id", "n", F.xxhash64("g", "s").alias("h"))
+    shared = stage(elements.groupBy("h").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1"), "shared-shingles")
+    known = lookup(elements, shared, "h", "left", counts=shared.withColumnRenamed("sets", "n"))
+    place = F.struct(F.coalesce("sets", F.lit(1)).alias("sets"), "h")
+    ordered = known.groupBy("id", "n").agg(F.array_sort(F.collect_list(place)).alias("order"))
+    length = (F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1).cast("int")
+    first = ordered.select("id", F.explode(F.slice("order", F.lit(1), length)).alias("p")).select("id", "p.*")
+    edges = first.filter("sets > 1").select(F.col("id").alias("a"), _hub("h").alias("b"))
+    split = components(edges).select(F.col("node").alias("id"), F.xxhash64("root").alias("part"))
+    finer = rows.join(split, "id").withColumn("g", F.col("part")).drop("part")
+    return told.filter("large is null").drop("large").unionByName(finer)
+
+
 def _rooted(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """``doc_id``, ``id``, ``n_shingles`` and ``root`` (the component, null without words) of each row."""
     rows = docs.select("doc_id", words_of(text_or_empty()).alias("words"))
@@ -184,8 +220,10 @@ def _rooted(docs: DataFrame, k: int, percent: int) -> DataFrame:
     classes = stage(sketches, "classes")
     width = 2 * REGISTERS // BANDS
     buckets = F.explode(F.array(*(F.xxhash64(F.lit(j), F.substring("registers", j * width + 1, width)) for j in range(BANDS))))
-    members = in_blocks(classes.select("id", buckets.alias("g")), F.lit(1), BUCKET_ROWS // 2)
+    members, crowded = by_size(classes.select("id", buckets.alias("g")), F.lit(1), BUCKET_ROWS)
     candidates = by_group(members.join(classes.select("id", "n", "registers"), "id"), _bucket_edges(percent / 100 - MARGIN), EDGES)
+    if crowded is not None:
+        candidates = candidates.unionByName(crowded.select(F.col("id").alias("a"), _hub("g").alias("b")))
     families = components(candidates)
 
     # The full sets of the families' classes, each made from its first document only.
@@ -194,8 +232,8 @@ def _rooted(docs: DataFrame, k: int, percent: int) -> DataFrame:
     again = again.select("id", "root", shingles(F.col("words"), k).alias("set"))
     sets = again.groupBy("id", "root").agg(F.first("set").alias("shingles"))
     sets = stage(sets.select("id", F.xxhash64("root").alias("g"), "shingles", F.size("shingles").alias("n")), "family-sets")
-    links = by_group(in_blocks(sets, F.col("n"), FAMILY_ELEMENTS // 2), _family_edges(percent), EDGES)
-    found = components(links)
+    parts = _parts(sets, percent, FAMILY_ELEMENTS)
+    found = components(links_within(parts, F.col("n"), FAMILY_ELEMENTS, _family_edges(percent)))
 
     linked = sketched.select("doc_id", "id", F.col("n").alias("n_shingles"))
     rooted = lookup(linked, found.withColumnRenamed("node", "id"), "id", "left")

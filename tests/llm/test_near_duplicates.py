@@ -189,3 +189,41 @@ def test_rotation_is_orthogonal():
     x = rng.normal(size=(5, 48))
     y = crosspolytope.rotated(x, rng.choice([-1.0, 1.0], (3, 64)))
     assert np.allclose(y @ y.T, x @ x.T)
+
+
+@pytest.mark.parametrize("own, expected", [(1, 1), (4, None)])
+def test_work_in_large_families_grows_in_proportion(spark, monkeypatch, own, expected):
+    """Copies with one word of their own are one component; sets below the threshold are told apart
+    by their rarest shingles. In neither case are rows repeated with the number of pieces."""
+    met, grouped = [], groups.by_group
+
+    def counting(rows, *args):
+        met.append(rows.count())
+        return grouped(rows, *args)
+
+    monkeypatch.setattr(groups, "by_group", counting)
+    for n in (8_192, 32_768):
+        met.clear()
+        mine = F.transform(F.sequence(F.lit(1), F.lit(own)), lambda k: F.xxhash64("id", k))
+        shared = F.transform(F.sequence(F.lit(1), F.lit(20 - own)), lambda k: F.xxhash64(k))
+        rows = spark.range(n, numPartitions=4).select(F.md5(F.col("id").cast("string")).alias("id"))
+        rows = rows.select("id", F.lit(1).cast("bigint").alias("g"), F.concat(mine, shared).alias("shingles"), F.lit(20).alias("n"))
+        parts = setsketch._parts(rows, 80, 40_960)
+        edges = groups.links_within(parts, F.col("n"), 40_960, setsketch._family_edges(80))
+        found = groups.components(edges)
+        assert sum(met) <= 1.1 * n
+        assert found.count() == (n if expected else 0)
+        assert found.select("root").distinct().count() == (expected or 0)
+
+
+def test_rows_outside_the_largest_component_meet_all(spark):
+    """Vectors on a line: pieces alone miss links, which rows outside the largest component find."""
+    rng = np.random.default_rng(9)
+    angle = np.r_[rng.normal(0, 0.02, 150), rng.uniform(-1.5, 1.5, 150)]
+    rows = [(f"{i:03d}", 1, [float(np.cos(a)), float(np.sin(a))]) for i, a in enumerate(angle)]
+    table = spark.createDataFrame(rows, "id string, g bigint, unit array<double>")
+    expected = roots(range(len(rows)), lambda a, b: np.cos(angle[a] - angle[b]) >= 0.9999)
+    for limit in (8, 40, 1000):
+        found = groups.components(groups.links_within(table, F.lit(1), limit, crosspolytope._edges(0.9999)))
+        got = {int(r.node): int(r.root) for r in found.collect()}
+        assert {i: got.get(i, i) for i in expected} == expected
