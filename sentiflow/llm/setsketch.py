@@ -182,10 +182,11 @@ def _parts(sets: DataFrame, percent: int, limit: int) -> DataFrame:
     """``sets`` (``id``, ``g``, the family, ``shingles`` and ``n``, their number), with families of more
     than ``limit`` elements split.
 
-    A set's shingles are ordered by how many sets of the family have them. Two sets of which 100 times
-    the common shingles are ``percent`` times the larger one's have one in common among the first
-    ``n - ceil(percent * n / 100) + 1`` of each. Parts are the components of sharing such a shingle;
-    sets that share none are linked with nothing and dropped.
+    A set's shingles are ordered by how many sets of the family have them. Of two sets that are linked,
+    the one that is not larger has ``2 * percent / (100 + percent)`` of its ``n`` shingles in common
+    with the other one, which has ``percent / 100`` of its own: so they share one that is among the
+    first of both, when as many as the rest and one more are taken. Parts are the components of having
+    such a shingle; sets that have none are linked with nothing and dropped.
     """
     sums = sets.groupBy("g").agg(F.sum("n").alias("weight"), F.lit(True).alias("large"))
     large = stage(sums.filter(F.col("weight") > limit).select("g", "large"), "large-families")
@@ -198,9 +199,14 @@ def _parts(sets: DataFrame, percent: int, limit: int) -> DataFrame:
     known = lookup(elements, shared, "h", "left", counts=shared.withColumnRenamed("sets", "n"))
     place = F.struct(F.coalesce("sets", F.lit(1)).alias("sets"), "h")
     ordered = known.groupBy("id", "n").agg(F.array_sort(F.collect_list(place)).alias("order"))
-    length = (F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1).cast("int")
-    first = ordered.select("id", F.explode(F.slice("order", F.lit(1), length)).alias("p")).select("id", "p.*")
-    edges = first.filter("sets > 1").select(F.col("id").alias("a"), _hub("h").alias("b"))
+    among = lambda share: (F.col("n") - F.ceil(share) + 1).cast("int")
+    first = F.slice("order", F.lit(1), among(F.col("n") * percent / F.lit(100)))
+    in_smaller = F.col("at") < among(F.col("n") * (2 * percent) / F.lit(100 + percent))
+    taken = ordered.select("id", "n", F.posexplode(first).alias("at", "p")).select("id", "p.*", in_smaller.alias("in_smaller"))
+    taken = stage(taken.filter("sets > 1"), "rare-shingles")
+    hubs = taken.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.max("in_smaller").alias("meets"))
+    hubs = hubs.filter("meets and n > 1").select("h")
+    edges = lookup(taken.select("id", "h"), stage(hubs, "rare-hubs"), "h").select(F.col("id").alias("a"), _hub("h").alias("b"))
     split = components(edges).select(F.col("node").alias("id"), F.xxhash64("root").alias("part"))
     finer = rows.join(split, "id").withColumn("g", F.col("part")).drop("part")
     return told.filter("large is null").drop("large").unionByName(finer)
