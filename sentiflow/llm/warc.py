@@ -42,6 +42,8 @@ DICTIONARY_BYTES = 16 * 1024
 SAMPLE_BYTES = 512 * 1024
 READ_BYTES = 16 * 1024
 ROWS_OUT = 256
+#: Tasks that archives are read in, at most; a task reads its archives as streams.
+READ_TASKS = 20_000
 
 WRITTEN = "path string, records bigint, bytes bigint"
 READ = (
@@ -285,14 +287,15 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
     """One row per record of the archives at ``path``.
 
     Invalid records are kept, with ``error`` saying why; an archive that breaks off adds a row with
-    an error and no record. ``payloads=False`` checks payloads but leaves them out of the rows.
+    an error and no record. ``payloads=False`` checks payloads but leaves them out of the rows. A task
+    reads one archive, or several one after the other where there are more than ``READ_TASKS``.
     """
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _read_task(batches, payloads)
 
     paths = archives.select("path")
-    return paths.repartition(max(1, paths.count())).mapInArrow(task, READ)
+    return paths.repartition(max(1, min(READ_TASKS, paths.count()))).mapInArrow(task, READ)
 
 
 def archived_pages(pages: DataFrame, payloads: bool = True) -> DataFrame:

@@ -127,7 +127,7 @@ def test_invalid_records_say_why():
         assert warc.parse_record(data)["error"], data
 
 
-def test_archives_of_pages(spark, tmp_path):
+def test_archives_of_pages(spark, tmp_path, monkeypatch):
     html = [None, "", "é" * 600, "same " * 400, "same " * 400, "tiny", "tiny", "z" * 300_000]
     pages = spark.createDataFrame([(i, f"http://x/{i}", h, "clash") for i, h in enumerate(html)], "page_id bigint, url string, html string, type string")
     repeated = pages.unionByName(pages.filter("page_id = 7")).unionByName(pages.filter("page_id = 2").withColumn("page_id", F.lit(None).cast("bigint")))
@@ -146,6 +146,10 @@ def test_archives_of_pages(spark, tmp_path):
         assert by_id["2"].target_uri == "http://x/2"
     (tmp_path / "a" / "broken.warc.zst").write_bytes(b"not an archive")
     assert sum(bool(r.error) for r in warc.read_archives(warc.archives_in(spark, str(tmp_path / "a"))).collect()) == 1
+    every = warc.read_archives(warc.archives_in(spark, str(tmp_path / "a"))).count()
+    monkeypatch.setattr(warc, "READ_TASKS", 2)
+    few = warc.read_archives(warc.archives_in(spark, str(tmp_path / "a")))
+    assert few.rdd.getNumPartitions() == 2 and few.count() == every
 
 
 # Details of the native operators
