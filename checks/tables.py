@@ -58,9 +58,11 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``requests`` as a stream. The table is a file or a folder of files; a stream takes a file by a
+    pattern only."""
     schema = table(spark, sf_dir, "conversations").schema
-    turns = spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet")
-    return turns_to_requests(turns.parquet(sf_dir))
+    turns = spark.readStream.schema(schema).parquet(f"{sf_dir}/{{conversations}}.parquet")
+    return turns_to_requests(turns)
 
 
 def turns_to_requests(turns: DataFrame) -> DataFrame:
