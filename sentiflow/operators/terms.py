@@ -2,40 +2,57 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import ENGLISH_STOPWORDS, FEATURE_WIDTH
-from ..functions.text import tokens, with_computed
 from ..sources.storage import stage
 from .lookup import BROADCAST_BYTES, HOT_KEYS, lookup
 
+STATISTICS = "word string, documents bigint, occurrences bigint"
+#: Words a task counts before it hands on what it has.
+COUNTED_WORDS = 100_000
+_STOPWORDS = frozenset(ENGLISH_STOPWORDS)
+
+
+def _terms_task(batches: Iterable[pa.RecordBatch], min_chars: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sizes, words, counts = [0], [], []
+        for text in batch.column(1).to_pylist():
+            terms = _without_stopwords(Counter(_split(text)), min_chars)
+            sizes.append(len(terms))
+            words += terms.keys()
+            counts += terms.values()
+        entries = pa.StructArray.from_arrays([pa.array(words, pa.string()), pa.array(counts, pa.int64())], ["word", "tf"])
+        ends = pa.array(np.cumsum(sizes), pa.int32())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, entries)], names)
+
+
+def _split(text: str | None) -> list[str]:
+    return [] if text is None else text.split(" ")
+
+
+def _without_stopwords(counts: Counter, min_chars: int) -> dict[str, int]:
+    return {w: n for w, n in counts.items() if len(w) >= min_chars and w not in _STOPWORDS}
+
 
 def document_terms(
     df: DataFrame, key: str = "review_id", text: str = "clean_text", min_chars: int = 1
 ) -> DataFrame:
     """``(key, terms)`` with ``terms`` an array of ``(word, tf)``; one row per input row.
 
-    A document's tokens are already together in its row, so its term frequencies need no shuffle:
-    sort the tokens, find where each run of equal tokens starts, take the distances.
+    A document's tokens are already together in its row, so its term frequencies need no shuffle.
     """
-    words = F.filter(
-        tokens(text), lambda w: (F.length(w) >= min_chars) & ~w.isin(*ENGLISH_STOPWORDS)
-    )
-    ordered = with_computed(df.select(key, text), "_words", F.sort_array(words))
-    last = F.size("_words") - 1
-    positions = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    starts = F.filter(positions, lambda i: (i == 0) | (F.get("_words", i) != F.get("_words", i - 1)))
-    terms = F.transform(
-        "_starts",
-        lambda start, run: F.struct(
-            F.get("_words", start).alias("word"),
-            (F.coalesce(F.get("_starts", run + 1), F.size("_words")) - start).cast("bigint").alias("tf"),
-        ),
-    )
-    return with_computed(with_computed(ordered, "_starts", starts), "terms", terms).select(key, "terms")
+    kind = df.schema[key].dataType.simpleString()
+    schema = f"`{key}` {kind}, terms array<struct<word:string,tf:bigint>>"
+    names = [key, "terms"]
+    return df.select(key, text).mapInArrow(lambda batches: _terms_task(batches, min_chars, names), schema)
 
 
 def term_rows(terms: DataFrame) -> DataFrame:
@@ -48,16 +65,37 @@ def word_statistics(df: DataFrame, text: str = "clean_text", min_chars: int = 1)
     row without a word counts the documents.
 
     Rows of disjoint parts of a corpus add up, so they are a state that merges (see ``add_batch``).
-    Tokens are exploded and tested compiled: first a null, then the distinct ones, then all.
+    Each task counts before the shuffle, in a bounded number of words at a time.
     """
-    words = with_computed(df.select(text), "_words", tokens(text)).select("_words")
-    words = with_computed(words, "_distinct", F.concat(F.array(F.lit(None).cast("string")), F.array_distinct("_words")))
-    rows = words.select(F.size("_distinct").alias("once"), F.posexplode(F.concat("_distinct", "_words")).alias("at", "word"))
-    kept = rows.filter(
-        F.col("word").isNull() | ((F.length("word") >= min_chars) & ~F.col("word").isin(*ENGLISH_STOPWORDS))
-    )
-    first = F.col("at") < F.col("once")
-    return kept.groupBy("word").agg(F.count_if(first).alias("documents"), F.count_if(~first).alias("occurrences"))
+    counted = df.select(text).mapInArrow(lambda batches: _statistics_task(batches, min_chars), STATISTICS)
+    return _summed(counted)
+
+
+def _statistics_task(batches: Iterable[pa.RecordBatch], min_chars: int) -> Iterator[pa.RecordBatch]:
+    seen, documents, occurrences = 0, Counter(), Counter()
+
+    def counted() -> pa.RecordBatch:
+        kept = _without_stopwords(occurrences, min_chars)
+        columns = [[None, *kept], [seen, *(documents[w] for w in kept)], [0, *kept.values()]]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.int64()))], ["word", "documents", "occurrences"])
+
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            if text is None:
+                continue
+            words = _split(text)
+            seen += 1
+            occurrences.update(words)
+            documents.update(set(words))
+            if len(occurrences) > COUNTED_WORDS:
+                yield counted()
+                seen, documents, occurrences = 0, Counter(), Counter()
+    if seen:
+        yield counted()
+
+
+def _summed(counted: DataFrame) -> DataFrame:
+    return counted.groupBy("word").agg(F.sum("documents").alias("documents"), F.sum("occurrences").alias("occurrences"))
 
 
 def add_batch(df: DataFrame, path: str, batch: str, text: str = "clean_text", min_chars: int = 1) -> None:
@@ -85,9 +123,14 @@ class TermStatistics:
     @classmethod
     def merged(cls, spark: SparkSession, path: str) -> TermStatistics:
         """The statistics of all batches under ``path``; the texts are not read."""
-        batches = spark.read.schema("word string, documents bigint, occurrences bigint").parquet(path)
-        total = batches.groupBy("word").agg(F.sum("documents").alias("documents"), F.sum("occurrences").alias("occurrences"))
-        return cls._kept(total)
+        return cls._kept(_summed(spark.read.schema(STATISTICS).parquet(path)))
+
+    @classmethod
+    def of_terms(cls, terms: DataFrame) -> TermStatistics:
+        """The statistics of the texts whose ``document_terms`` are given."""
+        counted = F.inline(F.array_append("terms", F.struct(F.lit(None).cast("string").alias("word"), F.lit(0).cast("bigint").alias("tf"))))
+        rows = terms.select(counted).groupBy("word")
+        return cls._kept(rows.agg(F.count(F.lit(1)).alias("documents"), F.sum("tf").alias("occurrences")))
 
     @classmethod
     def _kept(cls, counted: DataFrame) -> TermStatistics:
@@ -117,18 +160,19 @@ def tfidf(
 
     ``stats`` are the corpus statistics where they are kept already; words they lack are left out.
 
-    Two passes over the text while the vocabulary can be broadcast. Beyond that a third one: words
+    One pass over the text, whose terms are kept in shared storage: they are counted there and read
+    again to be weighed. While the vocabulary can be broadcast that is once; beyond that twice, as words
     in very many documents are still joined by broadcast and only the rare ones are shuffled.
     """
-    terms = document_terms(df, key, text)
-    stats = stats or TermStatistics.of(df, text)
+    terms = stage(document_terms(df.filter(F.col(text).isNotNull()), key, text), "document-terms")
+    stats = stats or TermStatistics.of_terms(terms)
+    idf = F.log(F.lit(1.0 + stats.documents) / (F.col("documents") + 1))
     joined = lookup(
         term_rows(terms),
-        stats.words.select("word", "documents"),
+        stats.words.select("word", idf.alias("idf")),
         "word",
         counts=stats.words.select("word", F.col("documents").alias("n")),
         broadcast_bytes=broadcast_bytes,
         hot_keys=hot_keys,
     )
-    idf = F.log(F.lit(1.0 + stats.documents) / (F.col("documents") + 1))
-    return joined.select(key, "word", "tf", (F.col("tf") * idf).alias("weight"))
+    return joined.select(key, "word", "tf", (F.col("tf") * F.col("idf")).alias("weight"))

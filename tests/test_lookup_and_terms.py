@@ -125,3 +125,25 @@ def test_keywords(spark, small):
     for options in ({}, {"broadcast_bytes": 0, "hot_keys": 3}):
         rows = keywords(small, lexicon, **options).collect()
         assert sorted(tuple(r) for r in rows) == expected
+
+
+def test_weights_clean_and_count_texts_once(small):
+    """What is joined are the kept terms: neither way reads the texts again."""
+    for options in ({}, {"broadcast_bytes": 0, "hot_keys": 5}):
+        files = tfidf(small, **options).inputFiles()
+        assert files and all("/document-terms-" in f or "/term-statistics-" in f for f in files)
+
+
+def test_term_statistics_count_null_words_and_texts(spark, monkeypatch):
+    from sentiflow.operators import terms
+
+    texts = [("great a the", 1), ("", 2), (None, 3), ("great  great b", 4)]
+    df = spark.createDataFrame(texts, "clean_text string, review_id int").repartition(2)
+    expected = {None: (3, 0), "great": (2, 3), "b": (1, 1)}
+    for limit in (100_000, 0):
+        monkeypatch.setattr(terms, "COUNTED_WORDS", limit)
+        counted = terms.word_statistics(df, min_chars=1).collect()
+        assert {r.word: (r.documents, r.occurrences) for r in counted if r.word != ""} == expected
+    kept = TermStatistics.of_terms(document_terms(df.filter("clean_text is not null")))
+    assert kept.documents == 3
+    assert {r.word: (r.documents, r.occurrences) for r in kept.words.collect() if r.word} == {"great": (2, 3), "b": (1, 1)}
