@@ -22,8 +22,8 @@ SPACE = "▁"
 #: No pair: larger than any rank.
 NONE = np.int64(1) << 40
 #: A task forgets its merged words beyond this number, and merges this many characters at once.
-KNOWN_WORDS = 500_000
-MERGE_CHARS = 2_000_000
+KNOWN_WORDS = 250_000
+MERGE_CHARS = 250_000
 CUT = re.compile(f"{SPACE}?[^{SPACE}\n]+|\n+|{SPACE}+(?={SPACE}[^{SPACE}\n])|{SPACE}+")
 
 
