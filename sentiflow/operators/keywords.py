@@ -71,12 +71,10 @@ def keywords(
     positions = df.select(key, F.posexplode(tokens(text)).alias("position", "form")).filter(
         (F.length("form") > MIN_KEYWORD_LENGTH) & ~F.col("form").isin(*ENGLISH_STOPWORDS)
     )
-    tagged = lookup(
-        positions,
-        lexicon.select("form", "lemma", "pos"),
-        "form",
-        "left" if keep_unknown else "inner",
-        broadcast_bytes=broadcast_bytes,
-        hot_keys=hot_keys,
-    )
-    return _select_keywords(tagged, stop_sets, keep_unknown).select(key, "position", "word")
+    sizes = {"broadcast_bytes": broadcast_bytes, "hot_keys": hot_keys}
+    if not keep_unknown:
+        # Keywords are told by the lexicon alone: what is joined, and shuffled if need be, are only these.
+        words = _select_keywords(lexicon.select("form", "lemma", "pos"), stop_sets, False).select("form", "word")
+        return lookup(positions, words, "form", **sizes).select(key, "position", "word")
+    tagged = lookup(positions, lexicon.select("form", "lemma", "pos"), "form", "left", **sizes)
+    return _select_keywords(tagged, stop_sets, True).select(key, "position", "word")

@@ -1,4 +1,5 @@
 import math
+import sys
 from collections import Counter
 
 import pytest
@@ -147,3 +148,12 @@ def test_term_statistics_count_null_words_and_texts(spark, monkeypatch):
     kept = TermStatistics.of_terms(document_terms(df.filter("clean_text is not null")))
     assert kept.documents == 3
     assert {r.word: (r.documents, r.occurrences) for r in kept.words.collect() if r.word} == {"great": (2, 3), "b": (1, 1)}
+
+
+def test_keywords_join_only_the_lexicons_keywords(spark, small, monkeypatch):
+    module = sys.modules["sentiflow.operators.keywords"]
+    joined, look = [], module.lookup
+    monkeypatch.setattr(module, "lookup", lambda rows, table, *a, **b: joined.append(table) or look(rows, table, *a, **b))
+    lexicon = spark.createDataFrame([("great", "great", "ADJ"), ("lasts", "last", "VERB")], "form string, lemma string, pos string")
+    assert keywords(small, lexicon).count() == 3
+    assert [tuple(r) for r in joined[0].collect()] == [("great", "great")]
