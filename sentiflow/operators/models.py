@@ -28,20 +28,20 @@ from ..functions.fixed_values import (
     VOCABULARY_ITERATIONS,
 )
 from ..functions.ratings import sentiment_name
+from ..sources.storage import stage
 from .lookup import lookup
 from .prepare import empty_after_cleaning, split_rejects, with_clean_text
 from .terms import TermStatistics
 
 
 def _fit_learner(
-    features: PipelineModel, train: DataFrame, learner: LogisticRegression, partitions: int | None
+    features: PipelineModel, rows: DataFrame, learner: LogisticRegression, partitions: int | None
 ) -> PipelineModel:
-    """Fit ``learner`` on transformed training rows, in ``partitions`` parts if that is given.
+    """Fit ``learner`` on ``rows`` of vectors and labels, in ``partitions`` parts if that is given.
 
     Each step of the optimiser pays for every task, so many small parts are slow; the result depends
     on them only in the last digits of sums.
     """
-    rows = features.transform(train).select("features", "label")
     if partitions:
         rows = rows.repartition(partitions)
     return PipelineModel([*features.stages, learner.fit(rows)])
@@ -76,7 +76,7 @@ def fit_hashing(
     )
     texts = train.select("clean_text", "label")
     features = Pipeline(stages=hashing_stages(num_features)).fit(texts)
-    return _fit_learner(features, texts, learner, partitions)
+    return _fit_learner(features, features.transform(texts).select("features", "label"), learner, partitions)
 
 
 def vocab_features(
@@ -155,7 +155,18 @@ def fit_vocab(
         family="multinomial",
         aggregationDepth=aggregation_depth,
     )
-    return _fit_learner(features, train.select("clean_text", "label"), learner, partitions)
+    return _fit_learner(features, _training_vectors(features, train), learner, partitions)
+
+
+def _training_vectors(features: PipelineModel, train: DataFrame) -> DataFrame:
+    """What the stages of ``vocab_features`` give, made once and staged: the learner reads it twice.
+
+    The vocabulary holds no stop word and no word of one letter, so they are not taken out of the
+    texts first.
+    """
+    words = F.split(F.lower("clean_text"), " ").alias("filtered_words")
+    weighed = PipelineModel(features.stages[2:]).transform(train.select(words, "label"))
+    return stage(weighed.select("features", "label"), "training-vectors")
 
 
 def predict(model: PipelineModel, reviews: DataFrame, digits: int | None = None) -> DataFrame:

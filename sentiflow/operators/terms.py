@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +18,8 @@ from ..sources.storage import stage
 from .lookup import BROADCAST_BYTES, HOT_KEYS, lookup
 
 STATISTICS = "word string, documents bigint, occurrences bigint"
-#: Words a task counts before it hands on what it has.
-COUNTED_WORDS = 100_000
+#: Words a task counts before it hands on what it has, and bytes of text that it counts at a time.
+COUNTED_WORDS, COUNTED_BYTES = 100_000, 8 << 20
 _STOPWORDS = frozenset(ENGLISH_STOPWORDS)
 
 
@@ -72,26 +74,51 @@ def word_statistics(df: DataFrame, text: str = "clean_text", min_chars: int = 1)
 
 
 def _statistics_task(batches: Iterable[pa.RecordBatch], min_chars: int) -> Iterator[pa.RecordBatch]:
-    seen, documents, occurrences = 0, Counter(), Counter()
+    seen, held = 0, None
 
-    def counted() -> pa.RecordBatch:
-        kept = _without_stopwords(occurrences, min_chars)
-        columns = [[None, *kept], [seen, *(documents[w] for w in kept)], [0, *kept.values()]]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.int64()))], ["word", "documents", "occurrences"])
+    def counted() -> list[pa.RecordBatch]:
+        documents = pa.table([[None], [seen], [0]], schema=held.schema)
+        return pa.concat_tables([documents, held]).combine_chunks().to_batches()
 
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            if text is None:
-                continue
-            words = _split(text)
-            seen += 1
-            occurrences.update(words)
-            documents.update(set(words))
-            if len(occurrences) > COUNTED_WORDS:
-                yield counted()
-                seen, documents, occurrences = 0, Counter(), Counter()
+        for texts in _parts(batch.column(0).drop_null()):
+            found = _counted_words(texts, min_chars)
+            seen, held = seen + len(texts), found if held is None else _added(held, found)
+            if held.num_rows > COUNTED_WORDS:
+                yield from counted()
+                seen, held = 0, None
     if seen:
-        yield counted()
+        yield from counted()
+
+
+def _parts(texts: pa.Array) -> Iterator[pa.Array]:
+    """Runs of ``texts`` of about ``COUNTED_BYTES``, of one text at least."""
+    part = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64) // COUNTED_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+    return (texts.slice(a, b - a) for a, b in pairwise(cuts) if a < b)
+
+
+def _counted_words(texts: pa.Array, min_chars: int) -> pa.Table:
+    """``word``, ``documents`` and ``occurrences`` of some texts, counted over flat arrays of codes."""
+    lists = pc.split_pattern(texts, " ")
+    coded = lists.flatten().dictionary_encode()
+    codes, words = coded.indices.to_numpy(), coded.dictionary.cast(pa.string())
+    sizes = pc.list_value_length(lists).to_numpy()
+    pairs = np.repeat(np.arange(len(sizes), dtype=np.int64) << 32, sizes) | codes
+    pairs.sort()
+    once = pairs[np.diff(pairs, prepend=-1) != 0] & 0xFFFFFFFF
+    counts = [np.bincount(c, minlength=len(words)) for c in (once, codes)]
+    kept = pc.and_(
+        pc.greater_equal(pc.utf8_length(words), min_chars),
+        pc.invert(pc.is_in(words, pa.array(ENGLISH_STOPWORDS, pa.string()))),
+    )
+    return pa.table([words, *counts], ["word", "documents", "occurrences"]).filter(kept)
+
+
+def _added(*counted: pa.Table) -> pa.Table:
+    sums = pa.concat_tables(counted).group_by("word", use_threads=False)
+    added = sums.aggregate([("documents", "sum"), ("occurrences", "sum")])
+    return added.select(["word", "documents_sum", "occurrences_sum"]).rename_columns(counted[0].column_names)
 
 
 def _summed(counted: DataFrame) -> DataFrame:
